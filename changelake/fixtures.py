@@ -12,35 +12,23 @@ from changelake.schema import CHANGES, DELETE, INDEX, SHARD_KEY
 def raw_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document operations as the engine reports them, `op_no` giving their order."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
-    name = (
-        F.when(kind == "error", ".sys-error")
-        .when(kind == "click", "logs-click")
-        .when(kind == "view", "logs-view")
-        .when(kind == "purchase", "shop-purchase")
-        .otherwise("shop-signup")
-    )
-    number = F.col("event_id").cast("string")
-    is_delete = k % 10 == 0
-    body = F.concat(F.lit('{"n":'), number, F.lit(',"k":'), k.cast("string"), F.lit("}"))
-    return events.select(
-        F.when(F.col("event_id") % 97 == 0, "FAILURE").otherwise("SUCCESS").alias("result_type"),
-        name.alias("index"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
-        F.when(~is_delete, body).alias("source"),
-        F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), 1)
-        .otherwise(2)
-        .cast("long")
-        .alias("primary_term"),
-        F.when(is_delete, DELETE).otherwise(INDEX).alias("op_type"),
-        F.when(
-            F.col("event_id") % 5 == 0,
-            F.concat(F.lit("r"), (F.col("event_id") % 7).cast("string")),
-        ).alias("routing"),
-        (F.col("user_id") % 3).cast("int").alias("shard_id"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"),
-        F.col("event_id").alias("op_no"),
+    return (
+        events.withColumn("k", F.expr("CAST(get_json_object(props, '$.k') AS INT)"))
+        .selectExpr(
+            "CASE WHEN event_id % 97 = 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS result_type",
+            """CASE event_type WHEN 'error' THEN '.sys-error' WHEN 'click' THEN 'logs-click'
+                    WHEN 'view' THEN 'logs-view' WHEN 'purchase' THEN 'shop-purchase'
+                    ELSE 'shop-signup' END AS `index`""",
+            "concat('u', CAST(user_id AS STRING)) AS id",
+            """CASE WHEN k % 10 <> 0 THEN
+                    concat('{"n":', CAST(event_id AS STRING), ',"k":', CAST(k AS STRING), '}') END AS source""",
+            "CAST(CASE WHEN ts < TIMESTAMP_NTZ'2024-01-16 00:00:00' THEN 1 ELSE 2 END AS BIGINT) AS primary_term",
+            "CASE WHEN k % 10 = 0 THEN 'DELETE' ELSE 'INDEX' END AS op_type",
+            "CASE WHEN event_id % 5 = 0 THEN concat('r', CAST(event_id % 7 AS STRING)) END AS routing",
+            "CAST(user_id % 3 AS INT) AS shard_id",
+            "unix_millis(CAST(ts AS TIMESTAMP)) AS timestamp_ms",
+            "event_id AS op_no",
+        )
     )
 
 
@@ -85,16 +73,13 @@ _STEP, _CYCLE = 7919, 100003
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consumer input: shuffled, a tenth of the events delivered twice."""
-    once = captured(spark, sf_dir).withColumn(
-        "_tries", F.when(F.col("op_no") % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    )
-    arrival = (F.col("op_no") * _STEP) % _CYCLE + F.col("_try") * _CYCLE
+    times = "CASE WHEN op_no % 10 = 3 THEN array(0, 1) ELSE array(0) END"
     return (
-        once.withColumn("_try", F.explode("_tries"))
-        .withColumn("arrival", arrival.cast("long"))
-        .withColumn("batch_key", F.concat(F.lit("b"), F.expr("arrival div 50").cast("string")))
-        .withColumn("line_no", F.col("op_no"))
-        .drop("_tries", "_try")
+        captured(spark, sf_dir)
+        .selectExpr("*", f"explode({times}) AS again")
+        .selectExpr("*", f"(op_no * {_STEP}) % {_CYCLE} + again * {_CYCLE}L AS arrival")
+        .selectExpr("*", "concat('b', CAST(arrival div 50 AS STRING)) AS batch_key", "op_no AS line_no")
+        .drop("again")
     )
 
 
