@@ -68,9 +68,14 @@ def reconcile_counts(active: DataFrame, passive: DataFrame) -> DataFrame:
         .groupBy("index")
         .agg(F.sum("active").alias("active"), F.sum("passive").alias("passive"))
     )
+    # A row of no collection, so that there is a total even where there are no documents.
+    nothing = active.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("index"), F.lit(0).alias("active"), F.lit(0).alias("passive")
+    )
     in_sync = ~F.col("_differs") & (F.col("active") > 0)
     return (
-        counts.withColumn("_differs", F.col("active") != F.col("passive"))
+        counts.unionByName(nothing)
+        .withColumn("_differs", F.col("active") != F.col("passive"))
         .rollup("index")
         .agg(
             F.sum("active").alias("active"),
@@ -78,14 +83,13 @@ def reconcile_counts(active: DataFrame, passive: DataFrame) -> DataFrame:
             F.max("_differs").alias("_differs"),
             F.grouping("index").alias("_total"),
         )
+        .filter((F.col("_total") == 1) | F.col("index").isNotNull())
         .select(
             F.when(F.col("_total") == 1, "TOTAL").otherwise(F.col("index")).alias("index"),
-            F.coalesce("active", F.lit(0)).alias("active"),
-            F.coalesce("passive", F.lit(0)).alias("passive"),
-            F.when(F.col("active").eqNullSafe(F.col("passive")), MATCH)
-            .otherwise(MISMATCH)
-            .alias("status"),
-            F.when(F.col("_total") == 1, F.coalesce(in_sync, F.lit(False))).alias("in_sync"),
+            "active",
+            "passive",
+            F.when(F.col("active") == F.col("passive"), MATCH).otherwise(MISMATCH).alias("status"),
+            F.when(F.col("_total") == 1, in_sync).alias("in_sync"),
         )
     )
 
