@@ -35,17 +35,6 @@ def _as_replica(changes: DataFrame) -> DataFrame:
     return changes.withColumn("version", version()).withColumn("source", source)
 
 
-def _newest(rows: DataFrame, *ties: Column) -> DataFrame:
-    # Spark limits each map task to its own best row per document before the shuffle, so
-    # many copies of one document never meet in one task.
-    best = Window.partitionBy(*DOC_KEY).orderBy(F.col("version").desc(), *ties)
-    return (
-        rows.withColumn("_rank", F.row_number().over(best))
-        .filter(F.col("_rank") == 1)
-        .select(*REPLICA.fieldNames())
-    )
-
-
 def _first_arrival(changes: DataFrame) -> list[Column]:
     """Tie order of equal versions: the earlier arrival stays. Without one, any fixed order."""
     known = [c for c in (*ARRIVAL, "primary_term", "timestamp_ms") if c in changes.columns]
@@ -54,7 +43,15 @@ def _first_arrival(changes: DataFrame) -> list[Column]:
 
 def latest_state(changes: DataFrame) -> DataFrame:
     """The replica after replaying the changes: highest version per document, deletes as tombstones."""
-    return _newest(_as_replica(changes), *_first_arrival(changes))
+    # Spark limits each map task to its own best row per document before the shuffle, so
+    # many copies of one document never meet in one task.
+    best = Window.partitionBy(*DOC_KEY).orderBy(F.col("version").desc(), *_first_arrival(changes))
+    return (
+        _as_replica(changes)
+        .withColumn("_rank", F.row_number().over(best))
+        .filter(F.col("_rank") == 1)
+        .select(*REPLICA.fieldNames())
+    )
 
 
 def live_docs(state: DataFrame) -> DataFrame:
@@ -63,11 +60,22 @@ def live_docs(state: DataFrame) -> DataFrame:
 
 
 def apply_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """Fold changes into an existing replica. Only a strictly higher version replaces a row."""
-    stored = state.select(*REPLICA.fieldNames()).withColumn("_stored", F.lit(True))
-    fresh = _as_replica(changes).withColumn("_stored", F.lit(False))
-    rows = stored.unionByName(fresh, allowMissingColumns=True)
-    return _newest(rows, F.col("_stored").desc(), *_first_arrival(changes))
+    """Fold changes into a replica, which has one row per document.
+
+    Only a strictly higher version replaces a row. The changes are reduced to one row per
+    document first, which leaves them partitioned and sorted for the join; the replica is
+    shuffled once and not ranked.
+    """
+    body = [c for c in REPLICA.fieldNames() if c not in DOC_KEY]
+    stored = state.select(*DOC_KEY, F.struct(*body).alias("_stored"))
+    fresh = latest_state(changes).select(*DOC_KEY, F.struct(*body).alias("_fresh"))
+    replaced = F.col("_stored").isNull() | (F.col("_fresh.version") > F.col("_stored.version"))
+    kept = F.when(replaced, F.col("_fresh")).otherwise(F.col("_stored"))
+    return (
+        stored.join(fresh, DOC_KEY, "full_outer")
+        .select(*DOC_KEY, kept.alias("_row"))
+        .select(*[F.col(c) if c in DOC_KEY else F.col(f"_row.{c}") for c in REPLICA.fieldNames()])
+    )
 
 
 def bootstrap(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
@@ -101,8 +109,8 @@ def replay_verdicts(
     APPLIED if its version is above the stored one and above all earlier ones, else
     CONFLICT. Events for which `rejected` holds are FAILED and do not raise the version.
     """
-    fresh = deliveries.withColumn("_rejected", F.coalesce(rejected, F.lit(False)) if rejected is not None else F.lit(False))
-    rows = fresh.withColumn("_raises", F.when(~F.col("_rejected"), version()))
+    refused = F.lit(False) if rejected is None else F.coalesce(rejected, F.lit(False))
+    rows = deliveries.withColumn("_rejected", refused).withColumn("_raises", F.when(~F.col("_rejected"), version()))
     if state is not None:
         stored = state.select(*DOC_KEY, F.col("version").alias("_raises"), F.lit(True).alias("_stored"))
         rows = rows.withColumn("_stored", F.lit(False)).unionByName(stored, allowMissingColumns=True)

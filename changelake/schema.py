@@ -7,7 +7,8 @@ APPLIED, CONFLICT, FAILED = "APPLIED", "CONFLICT", "FAILED"
 
 SHARD_KEY = ["index", "shard_id"]
 # Sequence numbers are assigned per shard, so versions compare only inside one.
-DOC_KEY = ["index", "shard_id", "id"]
+# The document id leads because it tells rows apart soonest when they are sorted by key.
+DOC_KEY = ["id", "index", "shard_id"]
 
 CHANGES = T.StructType(
     [
