@@ -32,7 +32,7 @@ def batch_by_count(
     """Add `batch_no`: every `n` events of a shard, in sequence order."""
     order = ["seq_no", "primary_term", "timestamp_ms", "id"]
     numbered = number_rows(
-        changes, SHARD_KEY, order, "seq_no", "batch_no", rows_per_segment=rows_per_segment
+        changes, SHARD_KEY, order, "seq_no", "batch_no", True, rows_per_segment
     )
     return numbered.withColumn("batch_no", F.expr(f"batch_no div {int(n)}"))
 
@@ -73,7 +73,7 @@ def pack_batches(
     one row per segment, are walked in order.
     """
     sized = batch_by_age(changes, age_ms).withColumn("_size", event_size())
-    rows = cut_hot_groups(sized, PACK_KEY, "seq_no", rows_per_segment)
+    rows = cut_hot_groups(sized, PACK_KEY, "seq_no", rows_per_segment, unique_lead=True)
     piece = [*PACK_KEY, SEGMENT]
 
     narrow = rows.filter(F.col(SEGMENT).isNotNull()).select(*piece, *PACK_ORDER[:3], "id", "_size")

@@ -27,35 +27,60 @@ ROWS_PER_SEGMENT = 1_000_000
 MAX_CUT_GROUPS = 10_000
 
 
-def cut_hot_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    lead: str,
-    rows_per_segment: int = ROWS_PER_SEGMENT,
-) -> DataFrame:
-    """Add `_segment`: null in ordinary groups, 0, 1, 2… in order of `lead` in large ones.
+# Room for the second cut below one value of the first.
+_FINER = 1 << 20
 
-    `lead` is the leading ordering column, an integer ordinal. Rows where it is null
-    sort first and land in segment 0.
-    """
-    pieces = F.ceil(F.col("_rows") / F.lit(rows_per_segment))
+
+def _ranges(
+    rows: DataFrame, keys: Sequence[str], lead: str, limit: int, finer: int = 1
+) -> DataFrame:
+    """Groups of `rows` above `limit`, with the start and width of even pieces of their range."""
+    pieces = F.least(F.ceil(F.col("_rows") / F.lit(limit)) * F.lit(finer), F.lit(_FINER))
     span = F.col("_last") - F.col("_first") + F.lit(1)
-    hot = (
-        df.groupBy(*keys)
+    return (
+        rows.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             F.min(lead).alias("_first"),
             F.max(lead).alias("_last"),
         )
-        .filter(F.col("_rows") > rows_per_segment)
+        .filter(F.col("_rows") > limit)
         .orderBy(F.col("_rows").desc(), *keys)
         .limit(MAX_CUT_GROUPS)
         .select(*keys, "_first", F.greatest(F.lit(1), F.ceil(span / pieces)).alias("_width"))
     )
+
+
+def cut_hot_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    lead: str,
+    rows_per_segment: int = ROWS_PER_SEGMENT,
+    unique_lead: bool = False,
+) -> DataFrame:
+    """Add `_segment`: null in ordinary groups, growing with `lead` in large ones.
+
+    `lead` is the leading ordering column, an integer ordinal. Rows where it is null sort
+    first. If it is unique within a group, fixed-width segments are small whatever the
+    spread of the values. If not, the range of a group is cut evenly, and pieces in which
+    the values crowd are cut once more, 32 times finer than their rows alone would ask for.
+    """
     place = F.expr(f"(`{lead}` - _first) div _width")
+    hot = _ranges(df, keys, lead, rows_per_segment)
+    cut = df.join(F.broadcast(hot), list(keys), "left")
+    is_hot = F.col("_width").isNotNull()
+    if unique_lead:
+        place = F.expr(f"(`{lead}` - _first) div {int(rows_per_segment)}")
+        return cut.withColumn(SEGMENT, F.when(is_hot, F.coalesce(place, F.lit(0)))).drop("_first", "_width")
+
+    once = cut.withColumn(SEGMENT, F.when(is_hot, F.coalesce(place, F.lit(0)))).drop("_first", "_width")
+    crowded = _ranges(
+        once.filter(F.col(SEGMENT).isNotNull()), [*keys, SEGMENT], lead, 2 * rows_per_segment, 32
+    )
+    finer = F.col(SEGMENT) * _FINER + F.coalesce(place, F.lit(0))
     return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(SEGMENT, F.when(F.col("_width").isNotNull(), F.coalesce(place, F.lit(0))))
+        once.join(F.broadcast(crowded), [*keys, SEGMENT], "left")
+        .withColumn(SEGMENT, finer)
         .drop("_first", "_width")
     )
 
