@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,10 @@ from changelake.functions.columns import base_path, batch_key, change_line, even
 from changelake.plans.ordered import ROWS_PER_SEGMENT, SEGMENT, cut_hot_groups, number_rows
 from changelake.schema import SHARD_KEY
 
+# The packing functions travel to the executors with the job, so the package need not be
+# installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Default limits of a batch.
 MAX_EVENTS = 1000
 MAX_AGE_MS = 5000
