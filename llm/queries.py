@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import simhash
+from llm import decontaminate, ngram, simhash, toxicity
 from llm.common import table
 
 
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = ngram.Model(table(spark, sf_dir, "documents"))
+    return model.score().select(
+        F.col("id").alias("doc_id"),
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.unigram_counts.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -20,8 +33,34 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.score(docs, toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels"))))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (toxicity.remainder("id") == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz": op1_katz,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
+    "op6_decontaminate": op6_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
