@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, ngram, simhash, toxicity
+from llm import decontaminate, ngram, simhash, suffix, toxicity
 from llm.common import table
 
 
@@ -56,11 +56,23 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": op1_katz,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_decontaminate": op6_decontaminate,
+    "op7_suffix": op7_suffix,
 }
 
 ORACLES: dict[str, str] = {}
