@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, ngram, simhash, suffix, toxicity
+from llm import decontaminate, lines, ngram, simhash, suffix, toxicity
 from llm.common import table
 
 
@@ -67,12 +67,18 @@ def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": op1_katz,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_suffix": op7_suffix,
+    "op9_lines": op9_lines,
 }
 
 ORACLES: dict[str, str] = {}
