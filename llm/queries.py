@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, lines, ngram, simhash, suffix, toxicity
+from llm import decontaminate, lines, ngram, pivots, sharding, simhash, suffix, toxicity
 from llm.common import table
 
 
@@ -44,6 +44,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -67,6 +77,19 @@ def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
@@ -76,8 +99,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": op1_katz,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_pivots": op5_pivots,
     "op6_decontaminate": op6_decontaminate,
     "op7_suffix": op7_suffix,
+    "op8_sharding": op8_sharding,
     "op9_lines": op9_lines,
 }
 
