@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, lines, ngram, pivots, sharding, simhash, suffix, toxicity
+from llm import decontaminate, html, lines, ngram, pieces, pivots, sharding, simhash, suffix, toxicity
 from llm.common import table
 
 
@@ -24,6 +24,18 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = pieces.decode(coded)
+    return back.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+        "score",
+        F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -95,8 +107,14 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": op1_katz,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_pivots": op5_pivots,
@@ -104,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix": op7_suffix,
     "op8_sharding": op8_sharding,
     "op9_lines": op9_lines,
+    "op10_html": op10_html,
 }
 
 ORACLES: dict[str, str] = {}
