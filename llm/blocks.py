@@ -16,15 +16,20 @@ from typing import Any
 
 from pyspark import RDD
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from llm.common import utf8
+from llm.common import partitions, utf8
 
 CHUNK_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20  # of text per bucket, so that a bucket's merge fits a worker at any size of the input
 
 
 class Blocks:
     def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES):
         """`docs` has two columns: an id and a text."""
+        text = F.col(docs.columns[1]).cast("binary")
+        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        self.buckets = max(partitions(docs.sparkSession), -(-size // BUCKET_BYTES))
 
         def cut(index: int, rows: Iterator) -> Iterator[tuple]:
             ids, texts, size, k = [], [], 0, 0
@@ -41,9 +46,9 @@ class Blocks:
 
         self._chunks = docs.rdd.mapPartitionsWithIndex(cut)
 
-    def ask(self, questions: Callable[..., Iterable[tuple[int, Any]]], buckets: int, *answers: RDD) -> RDD:
+    def ask(self, questions: Callable[..., Iterable[tuple[int, Any]]], *answers: RDD) -> RDD:
         """Partition b holds (chunk, payload) for each (b, payload) of `questions(ids, texts, *answers)`."""
-        depth = len(answers)
+        depth, buckets = len(answers), self.buckets
 
         def send(item: tuple) -> Iterator[tuple]:
             (place, ids, texts), *known = _flat(item, depth)

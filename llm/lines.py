@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.blocks import Blocks
-from llm.common import partitions
 from llm.ngram import _places
 from llm.suffix import _numbers
 
@@ -260,15 +259,15 @@ def _answer_check(sent: list) -> Iterable[list[int]]:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with the kept lines as its text, and `n_lines`, `n_dropped` (longs)."""
     spark = docs.sparkSession
-    n = partitions(spark)
     rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     row = F.struct(
         F.col(id_col).cast("long").alias("_id"), F.col(text_col).isNull().alias("_null"), F.struct(*rest).alias("_rest")
     )
     blocks = Blocks(docs.select(row.alias("id"), F.col(text_col).alias("text")))
-    lines = blocks.answers(blocks.ask(_ask_lines(n), n), _answer_lines)
-    variants = blocks.answers(blocks.ask(_ask_variants(n), n, lines), _answer_variants)
-    checked = blocks.answers(blocks.ask(_ask_check(n), n, lines, variants), _answer_check)
+    n = blocks.buckets
+    lines = blocks.answers(blocks.ask(_ask_lines(n)), _answer_lines)
+    variants = blocks.answers(blocks.ask(_ask_variants(n), lines), _answer_variants)
+    checked = blocks.answers(blocks.ask(_ask_check(n), lines, variants), _answer_check)
 
     def rows(ids: list, texts: list[bytes], lines: dict, checked: dict) -> Iterator[tuple]:
         chunk = Candidates(ids, texts, lines)

@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.blocks import Blocks
-from llm.common import partitions
 
 K = 5  # counts above it are not discounted
 BEGIN, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
@@ -291,16 +290,15 @@ class Model:
     """Counted and ready to score. `words` and `pairs` are the questions, merged per bucket by whoever reads them."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-        spark = docs.sparkSession
-        self.spark, self.n = spark, partitions(spark)
-        n = self.n
+        self.spark = docs.sparkSession
         self.blocks = Blocks(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-        self.words = self.blocks.ask(_ask_words(n), n)
+        n = self.n = self.blocks.buckets
+        self.words = self.blocks.ask(_ask_words(n))
         self.word_answers = self.blocks.answers(self.words, _answer_words)
         self.unigram_counts = _total(self.words, lambda sent: _merge_words(sent)[1])
         unigrams = self.unigrams = Unigrams(self.unigram_counts)
         self.hot = max(1.0, unigrams.n / n)
-        self.pairs = self.blocks.ask(_ask_bigrams(n, self.hot), n, self.word_answers)
+        self.pairs = self.blocks.ask(_ask_bigrams(n, self.hot), self.word_answers)
 
         def survey(sent: Iterator) -> Iterator[tuple]:
             got = [payload for _, payload in sent if payload is not None]

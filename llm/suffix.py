@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.blocks import Blocks
-from llm.common import partitions
 from llm.ngram import _PIECE, Rolling, _mixed, _places
 
 LENGTH = 100
@@ -286,10 +285,10 @@ def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept): removed byte ranges and the bytes that stay, per row."""
     spark = docs.sparkSession
-    n = partitions(spark)
     blocks = Blocks(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
-    sizes = blocks.answers(blocks.ask(_ask_sizes(n), n), _answer_sizes(hot))
-    found = blocks.answers(blocks.ask(_ask_strings(n), n, sizes), _answer_strings)
+    n = blocks.buckets
+    sizes = blocks.answers(blocks.ask(_ask_sizes(n)), _answer_sizes(hot))
+    found = blocks.answers(blocks.ask(_ask_strings(n), sizes), _answer_strings)
     rolling = Rolling()
 
     def rows(ids: list, texts: list[bytes], sizes: dict, found: dict) -> Iterator[tuple]:
