@@ -15,12 +15,13 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 from pyspark import RDD
+from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import partitions, utf8
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 5 << 20
 BUCKET_BYTES = 8 << 20  # of text per bucket, so that a bucket's merge fits a worker at any size of the input
 
 
@@ -44,7 +45,7 @@ class Blocks:
             if ids:
                 yield (index, k), ids, texts
 
-        self._chunks = docs.rdd.mapPartitionsWithIndex(cut)
+        self._chunks = _one_by_one(docs.rdd.mapPartitionsWithIndex(cut))
 
     def ask(self, questions: Callable[..., Iterable[tuple[int, Any]]], *answers: RDD) -> RDD:
         """Partition b holds (chunk, payload) for each (b, payload) of `questions(ids, texts, *answers)`."""
@@ -98,19 +99,23 @@ class Blocks:
         return self._with(answers).flatMap(run)
 
     def _with(self, answers: tuple[RDD, ...]) -> RDD:
-        out = self._chunks
-        for known in answers:
-            short = known.getNumPartitions() - out.getNumPartitions()
-            if short > 0:
-                out = out.union(out.context.parallelize([], short))
-            out = out.zip(known)
-        return out
+        """Chunks, or (chunk, answers of each kind)."""
+        if not answers:
+            return self._chunks
+        known = answers[0].map(lambda a: (a,))
+        for more in answers[1:]:
+            known = known.zip(more).map(lambda both: (*both[0], both[1]))
+        chunks = self._chunks
+        short = known.getNumPartitions() - chunks.getNumPartitions()
+        if short > 0:
+            chunks = chunks.union(_one_by_one(chunks.context.parallelize([], short)))
+        return chunks.zip(_one_by_one(known))
+
+
+def _one_by_one(rdd: RDD) -> RDD:
+    """Zipped RDDs are sent in batches of a hundred otherwise, here all chunks of a partition at once."""
+    return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1))
 
 
 def _flat(item: Any, depth: int) -> list:
-    """((chunk, a), b) as [chunk, a, b]."""
-    out = []
-    for _ in range(depth):
-        item, last = item
-        out.insert(0, last)
-    return [item, *out]
+    return [item[0], *item[1]] if depth else [item]
