@@ -17,15 +17,15 @@ are taken as one document, hit where any of them is. An empty benchmark hits not
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import utf8
+from llm.common import stored, utf8
 
 WINDOW = 10
 PART_BYTES = 3 << 20
@@ -88,16 +88,16 @@ def runs(firsts: np.ndarray, lasts: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def scan(docs: DataFrame, windows: list[bytes], id_col: str, text_col: str) -> DataFrame:
-    """(id, n_words, windows, spans): the windows that occur, and runs of hit words with their place in the text."""
-    sent = docs.sparkSession.sparkContext.broadcast(Windows(windows))
+def scanner(spark: SparkSession, windows: list[bytes]) -> Callable[[Column], Column]:
+    """A column function: text -> struct (n_words, windows, spans): the windows that occur, and runs of hit words with their place."""
+    sent = spark.sparkContext.broadcast(Windows(windows))
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         search = sent.value.automaton() if sent.value.windows else None
         names = sent.value.windows
         for batch in batches:
             out = []
-            for doc, text in zip(batch["id"], batch["text"]):
+            for text in batch:
                 flat = plain(text)
                 words = flat.split()
                 hits = list(search.iter(" " + b" ".join(words).decode("latin-1") + " ")) if search and words else []
@@ -113,16 +113,30 @@ def scan(docs: DataFrame, windows: list[bytes], id_col: str, text_col: str) -> D
                         begin = len(raw[:start].decode("utf-8", "surrogatepass"))
                         size = len(raw[start:end].decode("utf-8", "surrogatepass"))
                         spans.append((a, b, begin, begin + size))
-                out.append((doc, len(words), [names[i] for i in {i for _, (i, _) in hits}], spans))
-            yield pd.DataFrame(out, columns=["id", "n_words", "windows", "spans"])
+                out.append((len(words), [names[i] for i in {i for _, (i, _) in hits}], spans))
+            yield pd.DataFrame(out, columns=["n_words", "windows", "spans"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(
-        work,
-        "id long, n_words long, windows array<binary>, spans array<struct<first:int,last:int,start:int,end:int>>",
+    return F.pandas_udf(
+        work, "n_words long, windows array<binary>, spans array<struct<first:int,last:int,start:int,end:int>>"
     )
 
 
+def scan(docs: DataFrame, windows: list[bytes], id_col: str, text_col: str) -> DataFrame:
+    """(id, n_words, windows, spans) per row."""
+    found = scanner(docs.sparkSession, windows)(F.col(text_col))
+    return docs.select(F.col(id_col).cast("long").alias("id"), found.alias("_s")).select("id", "_s.*")
+
+
+def without_leaks(
+    docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str = "text", part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """`docs` without the rows that contain a window; texts are filtered where they are read."""
+    for windows in _parts(item_windows(bench, window, "item_id", "text"), part_bytes):
+        found = scanner(docs.sparkSession, windows)(F.col(text_col))
+        docs = docs.withColumn("_found", found).filter(F.size("_found.windows") == 0).drop("_found")
+    return docs
+
+
 def _parts(pairs: DataFrame, part_bytes: int) -> Iterator[list[bytes]]:
     """The distinct windows in lists of about `part_bytes`, dealt by hash."""
     distinct = pairs.select("window").distinct()
@@ -149,8 +163,9 @@ def decontaminate(
     for windows in _parts(pairs, part_bytes):
         found = scan(docs, windows, id_col, text_col)
         scans = found if scans is None else scans.union(found)
+    scans = stored(scans, "scan")  # texts are scanned once; the hits are read twice
     # the runs of several parts may overlap: in order, each adds what lies beyond the furthest end so far
-    ordered = F.array_sort(F.flatten(F.collect_list("spans")))
+    ordered = F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans"))))
     per_doc = scans.groupBy("id").agg(
         F.max("n_words").alias("n_words"), ordered.alias("spans"), F.flatten(F.collect_list("windows")).alias("windows")
     )

@@ -47,7 +47,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = toxicity.score(docs, toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels"))))
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return found.select(
         F.col("id").alias("doc_id"),
         (toxicity.remainder("id") == 2).alias("held_out"),

@@ -19,12 +19,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_ROWS = 20_000
@@ -89,6 +89,31 @@ class Lexicon:
         return out
 
 
+class Packed:
+    """The tokens of several chains in arrays, ordered by place in the chain, longer chains first."""
+
+    def __init__(self, chain: Chain):
+        self.sizes = np.array([len(g) for g in chain.gaps], dtype=np.int64)
+        self.order = np.argsort(-self.sizes, kind="stable")
+        rank = np.empty(len(self.order), np.int64)
+        rank[self.order] = np.arange(len(self.order))
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.at = np.lexsort((rank[doc], place))  # packed -> place in the flattened chains
+        found = [hit for hits in chain.found for hit in hits]
+        self.width = np.array([len(h) for h in found], dtype=np.int64)
+        self.flat = np.array([f for h in found for f in h], dtype=np.int64)
+        self.starts = np.cumsum(self.width) - self.width
+        self.gaps = np.array([g for gs in chain.gaps for g in gs], dtype=np.int64)
+        self.tails = np.array(chain.tails, dtype=np.int64)
+        longest = int(self.sizes.max()) if len(self.sizes) else 0
+        active = np.searchsorted(np.sort(-self.sizes), -np.arange(1, longest + 1), side="right")
+        self.cuts = np.concatenate([[0], np.cumsum(active)]).astype(np.int64)
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(weights[self.flat], self.starts) if len(self.flat) else np.zeros(0)
+
+
 class Field:
     """A two-state chain. `edge` holds the log potentials of clean-toxic, toxic-clean, toxic-toxic and of a toxic plain token."""
 
@@ -101,76 +126,79 @@ class Field:
         plain = move * np.array([1.0, np.exp(self.edge[3])])
         values, vectors = np.linalg.eig(plain)
         top = values.max()
-        grown = (values / top)[None, :] ** gaps[:, None]
-        power = (vectors[None] * grown[:, None, :]) @ np.linalg.inv(vectors)
-        return np.maximum(power, 0), gaps * np.log(top)
+        distinct, of = np.unique(gaps, return_inverse=True)
+        grown = (values / top)[None, :] ** distinct[:, None]
+        power = np.maximum((vectors[None] * grown[:, None, :]) @ np.linalg.inv(vectors), 0)
+        return power[of], gaps * np.log(top)
 
-    def run(self, chain: Chain) -> tuple[list[np.ndarray], np.ndarray]:
-        """Marginals of the tokens with features, and the log partition function, per document."""
+    def run(self, packed: Packed) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals of the tokens with features, flattened, and the log partition function per document."""
         move = np.exp(np.array([[0.0, self.edge[0]], [self.edge[1], self.edge[2]]]))
-        n = len(chain.gaps)
-        sizes = np.array([len(g) for g in chain.gaps])
-        order = np.argsort(-sizes, kind="stable")
-        longest = int(sizes.max()) if n else 0
-        active = [int((sizes > j).sum()) for j in range(longest)]
-        log_z = np.zeros(n)
-        alpha = np.zeros((n, 2))
-        alpha[:, 0] = 1.0
-        ahead, jumps, lifts = [], [], []
-        for j in range(longest):
-            who = order[: active[j]]
-            power, scale = self._steps(np.array([chain.gaps[d][j] for d in who]))
-            jump = power @ move
-            score = np.array([self.weights[list(chain.found[d][j])].sum() for d in who])
-            lift = np.stack([np.zeros(len(who)), score], axis=1)
-            high = lift.max(axis=1)
-            lift = np.exp(lift - high[:, None])
-            new = np.einsum("na,nab->nb", alpha[who], jump) * lift
-            total = new.sum(axis=1)
-            alpha[who] = new / total[:, None]
-            log_z[who] += np.log(total) + scale + high
-            ahead.append(alpha[who].copy())
-            jumps.append(jump)
-            lifts.append(lift)
-        power, scale = self._steps(np.array(chain.tails, dtype=float)) if n else (np.zeros((0, 2, 2)), np.zeros(0))
-        beta = power.sum(axis=2)
-        log_z += np.log(np.einsum("na,na->n", alpha, beta)) + scale
-        marginals = [np.zeros(s) for s in sizes]
-        for j in reversed(range(longest)):
-            who = order[: active[j]]
-            both = ahead[j] * beta[who]
-            for d, p in zip(who, both[:, 1] / both.sum(axis=1)):
-                marginals[d][j] = p
-            back = np.einsum("nab,nb->na", jumps[j], lifts[j] * beta[who])
-            beta[who] = back / back.sum(axis=1)[:, None]
-        return marginals, log_z
-
-    def path_score(self, chain: Chain, labels: list[np.ndarray]) -> float:
+        power, scale = self._steps(packed.gaps)
+        jump = (power @ move)[packed.at]
+        score = packed.scores(self.weights)
+        high = np.maximum(score, 0)
+        quiet, loud = np.exp(-high)[packed.at], np.exp(score - high)[packed.at]
+        j00, j01, j10, j11 = (jump[:, a, b] for a in (0, 1) for b in (0, 1))
+        lifted = (scale + high)[packed.at]
+        n, cuts = len(packed.sizes), packed.cuts.tolist()
+        a0, a1, log_z = np.ones(n), np.zeros(n), np.zeros(n)
+        ahead0, ahead1 = np.empty(len(packed.at)), np.empty(len(packed.at))
+        for lo, hi in zip(cuts, cuts[1:]):
+            k = hi - lo
+            b0 = (a0[:k] * j00[lo:hi] + a1[:k] * j10[lo:hi]) * quiet[lo:hi]
+            b1 = (a0[:k] * j01[lo:hi] + a1[:k] * j11[lo:hi]) * loud[lo:hi]
+            total = b0 + b1
+            a0[:k], a1[:k] = b0 / total, b1 / total
+            log_z[:k] += np.log(total) + lifted[lo:hi]
+            ahead0[lo:hi], ahead1[lo:hi] = a0[:k], a1[:k]
+        end, scale = self._steps(packed.tails[packed.order])
+        c0, c1 = end[:, 0].sum(axis=1), end[:, 1].sum(axis=1)
+        log_z += np.log(a0 * c0 + a1 * c1) + scale
+        p = np.empty(len(packed.at))
+        for lo, hi in zip(cuts[-2::-1], cuts[:0:-1]):
+            k = hi - lo
+            good, bad = ahead0[lo:hi] * c0[:k], ahead1[lo:hi] * c1[:k]
+            p[lo:hi] = bad / (good + bad)
+            u, v = quiet[lo:hi] * c0[:k], loud[lo:hi] * c1[:k]
+            d0, d1 = j00[lo:hi] * u + j01[lo:hi] * v, j10[lo:hi] * u + j11[lo:hi] * v
+            c0[:k], c1[:k] = d0 / (d0 + d1), d1 / (d0 + d1)
+        marginals, out = np.empty(len(p)), np.empty(n)
+        marginals[packed.at] = p
+        out[packed.order] = log_z
+        return marginals, out
+
+    def path_score(self, packed: Packed, gold: np.ndarray) -> float:
         """Sum over documents of the score of the labelled path; plain tokens are clean."""
         log_move = np.array([[0.0, self.edge[0]], [self.edge[1], self.edge[2]]])
-        total = 0.0
-        for gaps, found, tail, ys in zip(chain.gaps, chain.found, chain.tails, labels):
-            state = 0
-            for gap, hit, y in zip(gaps, found, ys):
-                total += log_move[state, 0] * (gap > 0) + log_move[0 if gap else state, y]
-                total += self.weights[list(hit)].sum() * y
-                state = y
-            total += log_move[state, 0] * (tail > 0)
-        return total
+        heads = np.cumsum(packed.sizes) - packed.sizes
+        before = np.concatenate([[0], gold[:-1]]) if len(gold) else gold
+        before[heads[packed.sizes > 0]] = 0
+        total = float((packed.scores(self.weights) * gold).sum())
+        total += float(log_move[np.where(packed.gaps > 0, 0, before), gold].sum() + log_move[before, 0][packed.gaps > 0].sum())
+        last = (heads + packed.sizes - 1)[packed.sizes > 0]
+        return total + float(log_move[gold[last], 0][packed.tails[packed.sizes > 0] > 0].sum())
 
     @staticmethod
-    def fit(chain: Chain, labels: list[np.ndarray], n_features: int, rounds: int = 40, decay: float = 1e-3) -> Field:
-        """Gradient ascent on the conditional likelihood: marginals give the feature gradient, differences the rest."""
+    def fit(chain: Chain, labels: list[np.ndarray], n_features: int, rounds: int = 40, decay: float = 1e-3, longest: int = 200) -> Field:
+        """Gradient ascent on the conditional likelihood: marginals give the feature gradient, differences the rest.
+
+        Chains are fitted in stretches of at most `longest` tokens with features.
+        """
         field = Field(np.zeros(n_features), np.array([-3.0, 0.0, 0.0, -6.0]))
-        flat = np.array([i for doc in chain.found for hit in doc for i in hit], dtype=int)
-        width = np.array([len(hit) for doc in chain.found for hit in doc], dtype=int)
-        gold = np.concatenate(labels) if labels else np.zeros(0)
-        docs = max(1, len(labels))
+        parts, gold = Chain([], [], [], []), []
+        for gaps, found, tail, ys in zip(chain.gaps, chain.found, chain.tails, labels):
+            for at in range(0, max(1, len(gaps)), longest):
+                parts.gaps.append(gaps[at : at + longest])
+                parts.found.append(found[at : at + longest])
+                parts.tails.append(tail if at + longest >= len(gaps) else 0)
+                gold.append(ys[at : at + longest])
+        packed, docs = Packed(parts), max(1, len(parts.gaps))
+        gold = np.concatenate(gold).astype(np.int64) if gold else np.zeros(0, np.int64)
         mean, square = np.zeros(n_features + 4), np.zeros(n_features + 4)
         for step in range(1, rounds + 1):
-            marginals, _ = field.run(chain)
-            miss = np.repeat(gold - np.concatenate(marginals), width) if len(flat) else np.zeros(0)
-            slope = np.bincount(flat, miss, n_features) / docs - decay * field.weights
+            marginals, _ = field.run(packed)
+            slope = np.bincount(packed.flat, np.repeat(gold - marginals, packed.width), n_features) / docs - decay * field.weights
             edge_slope = np.zeros(4)
             for k in range(4) if step % 4 == 1 else ():
                 side = []
@@ -178,7 +206,7 @@ class Field:
                     edge = field.edge.copy()
                     edge[k] += move
                     other = Field(field.weights, edge)
-                    side.append((other.path_score(chain, labels) - other.run(chain)[1].sum()) / docs)
+                    side.append((other.path_score(packed, gold) - other.run(packed)[1].sum()) / docs)
                 edge_slope[k] = (side[0] - side[1]) / 2e-3 - decay * field.edge[k]
             grad = np.concatenate([slope, edge_slope])
             mean = 0.9 * mean + 0.1 * grad
@@ -188,6 +216,10 @@ class Field:
         return field
 
 
+def _by_document(marginals: np.ndarray, packed: Packed) -> list[np.ndarray]:
+    return np.split(marginals, np.cumsum(packed.sizes)[:-1]) if len(packed.sizes) else []
+
+
 @dataclass
 class Tagger:
     lexicon: Lexicon
@@ -206,7 +238,8 @@ class Tagger:
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray], Chain]:
         chain = self.lexicon.chains(texts)
-        marginals, _ = self.field.run(chain)
+        packed = Packed(chain)
+        marginals = _by_document(self.field.run(packed)[0], packed)
         if self.constant is not None:
             return np.full(len(texts), self.constant), marginals, chain
         sizes = [sum(g) + len(g) + t for g, t in zip(chain.gaps, chain.tails)]
@@ -223,15 +256,17 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarr
     return w
 
 
-def train(labelled: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Tagger:
-    """Fit on `labelled` (id, text, toxic). At most `max_rows` rows and `max_features` features reach the driver."""
-    chosen = (
-        labelled.filter(F.col("toxic").isNotNull())
-        .withColumn("_order", F.xxhash64("id"))
-        .orderBy("_order", "id")
-        .limit(max_rows)
-        .select("id", "text", F.col("toxic").cast("int").alias("toxic"))
-    )
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Tagger:
+    """Fit on the texts of `docs` (doc_id, text) that `labels` (doc_id, toxic) marks, held-out ids apart.
+
+    At most `max_rows` labels, the first by a hash of the id, and `max_features` features reach the
+    driver. The chosen ids are broadcast, 16 bytes each, so that texts are filtered where they are read.
+    """
+    marked = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
+    marked = marked.filter(F.col("toxic").isNotNull() & (remainder("id") != 2))
+    ids = marked.orderBy(F.xxhash64("id"), "id", "toxic").limit(max_rows)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    chosen = texts.join(F.broadcast(ids), "id")
     chosen = chosen.persist()
     clean, toxic = (chosen.filter(F.col("toxic") == k).count() for k in (0, 1))
     if not clean or not toxic:
@@ -279,35 +314,36 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX
         labels.append(np.array([int(row.toxic == 1 and lifts[h].max() >= 3) for h in row.found], dtype=int))
     chosen.unpersist()
     field = Field.fit(chain, labels, len(lifts))
-    marginals, _ = field.run(chain)
+    packed = Packed(chain)
+    marginals = _by_document(field.run(packed)[0], packed)
     sizes = [sum(g) + len(g) + t for g, t in zip(chain.gaps, chain.tails)]
     return Tagger(lexicon, field, _fit_logistic(Tagger.summary(marginals, sizes), np.array(ys, dtype=float)))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, toxic) of the rows to learn from: those whose crc32(id as text) mod 4 is not 2."""
-    marks = labels.select(F.col("doc_id").cast("long").alias("id"), "toxic")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.filter(remainder("id") != 2).join(marks.filter(remainder("id") != 2), "id")
-
-
-def score(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, spans): offending tokens as (start, end, marginal) in characters, marginal 0.5 or more."""
-    sent = docs.sparkSession.sparkContext.broadcast(tagger)
+def scorer(spark: SparkSession, tagger: Tagger) -> Callable[[Column], Column]:
+    """A column function: text -> struct (score, spans); spans are offending tokens (start, end, marginal) in characters."""
+    sent = spark.sparkContext.broadcast(tagger)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            done = []
             for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
-                scores, marginals, chain = sent.value.score(list(part["text"]))
+                part = [None if t is None else t for t in batch.iloc[at : at + 500]]
+                scores, marginals, chain = sent.value.score(part)
                 spans = []
-                for text, m, places in zip(part["text"], marginals, chain.places):
+                for text, m, places in zip(part, marginals, chain.places):
                     bad = {i: p for i, p in zip(places, m.tolist()) if p >= 0.5}
                     spans.append([(*x.span(), bad[i]) for i, x in enumerate(_TOKEN.finditer(text)) if i in bad] if bad else [])
-                yield pd.DataFrame({"id": part["id"], "score": scores, "spans": spans})
+                done.append(pd.DataFrame({"score": scores, "spans": spans}))
+            yield pd.concat(done, ignore_index=True) if done else pd.DataFrame({"score": [], "spans": []})
+
+    return F.pandas_udf(work, "score double, spans array<struct<start:int,end:int,p:double>>")
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(work, "id long, score double, spans array<struct<start:int,end:int,p:double>>")
+
+def score(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score, spans) per row."""
+    found = scorer(docs.sparkSession, tagger)(F.col(text_col))
+    return docs.select(F.col(id_col).cast("long").alias("id"), found.alias("_s")).select("id", "_s.score", "_s.spans")
 
 
 def remainder(id_col: str | Column = "doc_id", n: int = 4) -> Column:
