@@ -95,8 +95,8 @@ def in_pieces(df: DataFrame, keys: list[str], order: str, size: int, sizes: Data
 
     `sizes` has a row (keys, members, least, most) for each group of two or more rows. A group up
     to `size` rows is one block. A larger one is dealt into p pieces by a hash of `order`, and each
-    pair of pieces is a block, so each of its rows is sent p times. Adds `_block` (long) and
-    `_piece` (int, -1 in whole groups).
+    pair of pieces is a block, so each of its rows is sent p times. Adds `_block` (long), `_piece`
+    (int, -1 in whole groups) and `_cross` (the block is of two pieces, even if one has no rows).
     """
     df = df.join(sizes, keys)
     pieces = F.ceil(F.col("members") / F.lit(size)).cast("int")
@@ -108,5 +108,6 @@ def in_pieces(df: DataFrame, keys: list[str], order: str, size: int, sizes: Data
     return (
         rows.withColumn("_other", other)
         .withColumn("_block", F.xxhash64(*keys, F.least("_piece", "_other"), F.greatest("_piece", "_other")))
+        .withColumn("_cross", F.col("_piece") != F.col("_other"))
         .drop("_pieces", "_other", "members")
     )

@@ -7,7 +7,8 @@ else the main element, else the body) loses menus, headers, footers, sidebars, n
 forms, scripts, styles and reader comments, told by tag, role and class, and becomes text blocks.
 
 Inside an article only what at least `SHARE` of the host's different articles hold is a template, so that
-copies of an article and passages that some articles share stay. Pages without article or main
+copies of an article and passages that some articles share stay. Only block elements are templates,
+never words or line breaks within a paragraph. Pages without article or main
 element are judged in the same way over their bodies.
 
 Cases: a null or empty page gives an empty text. A null url is the host "". Pages with equal main
@@ -200,7 +201,7 @@ def extract(html: str | None, templates: frozenset[int] = frozenset()) -> str:
                 flush()
             elif isinstance(item, str):
                 line.append(item)
-            elif item is not part and (_unwanted(item, inside) or templates and known[id(item)] in templates):
+            elif item is not part and (_unwanted(item, inside) or item.tag in BLOCK and known.get(id(item)) in templates):
                 if item.tag in BLOCK:
                     flush()
             elif item.tag == "br":
@@ -235,18 +236,12 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> Dat
                 for part in main_parts(parse(html)):
                     known = hashes(part)
                     main = main * 31 + known[id(part)] & (2**64 - 1)
-                    found |= set(known.values()) - {known[id(part)]}
-                rows += [(host, main, h) for h in found] + [(host, main, None)]
-            made = pd.DataFrame(rows, columns=["host", "main", "hash"]).drop_duplicates()
-            signed = np.array([0 if h is None or h != h else h for h in made["hash"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame(
-                {
-                    "host": made["host"],
-                    "main": np.array(made["main"].tolist(), dtype=np.uint64).view(np.int64),
-                    "hash": signed,
-                    "page": made["hash"].isna(),
-                }
-            )
+                    found |= {known[id(e)] for e in _walk(part) if e is not part and e.tag in BLOCK}
+                rows += [(host, main, h, False) for h in found] + [(host, main, 0, True)]
+            host, main, node, page = zip(*rows) if rows else ((), (), (), ())
+            signed = [np.array(x, dtype=np.uint64).view(np.int64) for x in (main, node)]
+            made = pd.DataFrame({"host": host, "main": signed[0], "hash": signed[1], "page": np.array(page, dtype=bool)})
+            yield made.drop_duplicates()
 
     seen = pages.mapInPandas(work, "host string, main long, hash long, page boolean").distinct()
     counts = seen.groupBy("host", "hash", "page").agg(F.count(F.lit(1)).alias("n"))

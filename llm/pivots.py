@@ -90,14 +90,13 @@ def index(classes: DataFrame, pivots: int = PIVOTS, nearest: int = NEAREST, shar
 
 def _links(block: pd.DataFrame, cosine: float, pivots: int, nearest: int, shared: int) -> pd.DataFrame | None:
     x = np.frombuffer(b"".join(block["vec"]), np.float64).reshape(len(block), -1)
-    norm = np.linalg.norm(x, axis=1)
     high = np.abs(x).max(axis=1)
     # vectors of extreme size are scaled first, so that squares neither vanish nor overflow
     x = x / high[:, None]
     norm = np.linalg.norm(x, axis=1)
     near = (x @ x.T) / norm[:, None] / norm[None, :] >= cosine
     piece = block["_piece"].to_numpy()
-    if piece.min() != piece.max():
+    if block["_cross"].iloc[0]:
         near &= piece[:, None] != piece[None, :]
     a, b = np.nonzero(np.triu(near, 1))
     if not len(a):
@@ -147,7 +146,7 @@ def near_duplicates(
     lists = index(classes, pivots, nearest, shared)
     keys = ["label", "dim", "list"]
     sizes = lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    blocks = in_pieces(lists, keys, "class", piece, sizes).select("class", "list", "_block", "_piece")
+    blocks = in_pieces(lists, keys, "class", piece, sizes).select("class", "list", "_block", "_piece", "_cross")
     dealt = blocks.join(classes.select("class", "vec", "n"), "class").repartition("_block").sortWithinPartitions("_block")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

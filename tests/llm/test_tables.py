@@ -1,0 +1,271 @@
+"""Pieces, toxicity, embeddings, shards, pages and the pipeline against brute force, round trips and held-out labels."""
+
+import collections
+import random
+
+import numpy as np
+import pytest
+from llm_helpers import edge_docs
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from llm import html, pieces, pivots, queries, sharding, toxicity
+from llm.common import components
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return edge_docs(spark).persist()
+
+
+# --- op2
+
+
+@pytest.fixture(scope="module")
+def unigram(tmp_path_factory):
+    """The model as one of the library's unigram kind, whose encoder is the plain search."""
+    proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    import sentencepiece
+
+    model = proto.ModelProto()
+    with open(pieces.MODEL, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = 1
+    for p in model.pieces:
+        p.score = max(p.score, -40000.0)
+    path = tmp_path_factory.mktemp("model") / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    return pieces.Vocabulary(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
+
+
+def test_pieces_like_the_library(spark, unigram):
+    vocabulary, library = unigram
+    texts = [r.text[:300] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(120).collect()]
+    for text in [*texts, " ", "  a  b ", "日本語 emoji 😀", "a" * 90]:
+        ids, score = vocabulary.encode(pieces._prepared(text))
+        assert vocabulary.decode(ids.tolist()) == text
+        assert abs(vocabulary.scores[library.encode(text)].sum() - score) <= 1e-6 * abs(score)
+
+
+def test_pieces_chunks(unigram):
+    vocabulary, _ = unigram
+    rng = random.Random(1)
+    for _ in range(150):
+        parts = ["the", "er", " ", "  ", "日", "x", "ing", "zzz", "▁", "\n", "a"]
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 120)))
+        x, size = " " + text, rng.randint(vocabulary.width, 40)
+        chunks = [x[k : k + size + vocabulary.width - 1] for k in range(0, len(x), size)]
+        matrices = [vocabulary.transfer(c, min(size, len(c))) for c in chunks]
+        states = pieces.border_states(matrices)
+        ids = [i for c, a, b in zip(chunks, states, states[1:]) for i in vocabulary.encode(c[a : min(size, len(c)) + b])[0].tolist()]
+        whole = vocabulary.encode(x)
+        assert vocabulary.scores[ids].sum() == whole[1] and vocabulary.decode(ids) == text
+        left = matrices[0]
+        for m in matrices[1:]:
+            left = pieces.combine(left, m)
+        right = matrices[-1]
+        for m in matrices[-2::-1]:
+            right = pieces.combine(m, right)
+        assert left[0, 0] == right[0, 0] == vocabulary.paths(x, 0, len(x))[0][-1]
+
+
+def test_pieces_edges(spark, docs):
+    for giant, chunk in ((pieces.GIANT, pieces.CHUNK), (500, 100)):
+        coded = pieces.encode(docs, giant=giant, chunk=chunk)
+        assert coded.columns == ["doc_id", "text", "lang", "source", "n_chars", "component", "ids", "score"]
+        back = pieces.decode(coded).collect()
+        assert len(back) == docs.count()
+        for r in back:
+            assert r.decoded == r.text and (r.text is None) == (r.ids is None)
+    assert pieces.encode(docs.limit(0)).count() == 0
+
+
+# --- op4
+
+
+def test_field_marginals():
+    """Marginals and partition function against all paths."""
+    field = toxicity.Field(np.array([1.5, -0.5, 2.0]), np.array([-1.0, 0.3, 0.2, -2.0]))
+    chain = toxicity.Chain([[0, 2, 1], [], [1]], [[(0,), (1, 2), (2,)], [], [(0, 1)]], [1, 2, 0], [[], [], []])
+    packed = toxicity.Packed(chain)
+    marginals, log_z = field.run(packed)
+    done = 0
+    for d, (gaps, found, tail) in enumerate(zip(chain.gaps, chain.found, chain.tails)):
+        tokens = [t for g, h in zip(gaps, found) for t in [None] * g + [h]] + [None] * tail
+        total, toxic = 0.0, np.zeros(len(tokens))
+        for path in range(2 ** len(tokens)):
+            states = [path >> i & 1 for i in range(len(tokens))]
+            score, before = 0.0, 0
+            for t, s in zip(tokens, states):
+                score += [[0.0, field.edge[0]], [field.edge[1], field.edge[2]]][before][s]
+                score += s * (field.edge[3] if t is None else field.weights[list(t)].sum())
+                before = s
+            total += np.exp(score)
+            toxic += np.exp(score) * np.array(states)
+        assert abs(np.log(total) - log_z[d]) < 1e-9
+        want = [p for t, p in zip(tokens, toxic / total) if t is not None]
+        assert np.allclose(want, marginals[done : done + len(want)])
+        done += len(want)
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    marked = labels.filter(toxicity.remainder("doc_id") == 2).select("doc_id", "toxic")
+    found = toxicity.score(docs.join(marked, "doc_id"), toxicity.train(docs, labels, max_rows=2000))
+    rows = found.join(marked.withColumnRenamed("doc_id", "id"), "id").collect()
+    hit = sum(r.toxic == 1 and r.score >= toxicity.THRESHOLD for r in rows)
+    assert hit >= 0.75 * sum(r.toxic == 1 for r in rows)
+    assert sum(r.toxic == 0 and r.score >= toxicity.THRESHOLD for r in rows) <= 0.02 * len(rows)
+    assert all(0 <= s.start < s.end for r in rows for s in r.spans)
+
+
+def test_toxicity_edges(spark, docs):
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(7, 44)] + [(1, None), (None, 1)], "doc_id long, toxic int")
+    for marks in (labels, labels.filter("toxic = 0"), labels.limit(0)):
+        got = toxicity.score(docs, toxicity.train(docs, marks, max_rows=50)).collect()
+        assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
+
+
+# --- op5
+
+
+def near_vectors():
+    rng = np.random.default_rng(2)
+    rows = []
+    for c in range(12):
+        center = rng.standard_normal(16)
+        for _ in range(10):
+            rows.append(((center + rng.standard_normal(16) * rng.choice([0.0, 0.03, 0.2])).tolist(), c % 3))
+    rows += [(rows[0][0], 0), ([0.0] * 16, 0), (None, 0), ([None] + [1.0] * 15, 0), ([float("nan")] * 16, 0), (rows[5][0], None)]
+    rows += [([1e200] * 16, 1), ([1e200] * 15 + [1.01e200], 1), ([1e-200] * 16, 1), ([1.0, 2.0], 1), ([2.0, 4.0], 1), ([], 1)]
+    return [(i, v, lab, "x") for i, (v, lab) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("piece", [pivots.PIECE, 4])
+def test_pivots(spark, piece):
+    rows = near_vectors()
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, n string")
+    got = {r.id: r for r in pivots.near_duplicates(table, piece=piece).collect()}
+    usable = {
+        i: np.array(v) / np.abs(v).max()
+        for i, v, lab, _ in rows
+        if v and lab is not None and None not in v and np.isfinite(v).all() and np.any(v)
+    }
+    linked = collections.defaultdict(set)
+    for i, x in usable.items():
+        for j, y in usable.items():
+            if i != j and rows[i][2] == rows[j][2] and len(x) == len(y):
+                if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.98:
+                    linked[i].add(j)
+    total = sum(map(len, linked.values()))
+    assert sum(r.n_links for r in got.values()) >= 0.97 * total > 0
+    for i, r in got.items():
+        assert r.n_links <= len(linked[i]) and (r.n_links > 0 or r.component == i)
+    assert pivots.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 360)]
+    root = {v: v for e in edges for v in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {v: find(v) for a, b in edges if a != b for v in (a, b)}
+
+
+# --- op8
+
+
+def test_shards(spark, docs):
+    whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = sharding.shard(whole, shards=7).collect()
+    sizes = collections.Counter()
+    slots = collections.defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert sorted(sizes) == list(range(7)) and max(sizes.values()) <= 1.06 * min(sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    by_text = collections.defaultdict(set)
+    for r in got:
+        by_text[r.crc, r.size].add(r.shard)
+    assert sum(len(s) > 1 for s in by_text.values()) <= 6
+    edge = sharding.shard(docs, shards=24).collect()
+    assert len(edge) == docs.count() and {r.size for r in edge if r.id in (1, 2)} == {8}
+    copies = docs.filter("doc_id = 10").crossJoin(spark.range(500)).drop("id")
+    copies = copies.withColumn("doc_id", F.monotonically_increasing_id())
+    spread = collections.Counter(r.shard for r in sharding.shard(copies, target_bytes=int(copies.count() * 60)).collect())
+    assert max(spread.values()) < 3 * 500 / len(spread)
+    assert sharding.shard(docs.limit(0), shards=3).count() == 0
+
+
+# --- op10
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t="</p>";</script></head><body class="with-sidebar">
+<header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav><div class="cookie-notice">We use cookies</div>
+<main><article><h1>Title {0}</h1><p>First&nbsp;part   of {0} &amp; more<br>next <b>bold</b> line<p>Second {0}
+<div class=ad>Buy</div><form><input> Name</form><ul><li>a {0}<li>b</ul><div>Follow us now</div><section id="comments"><p>Nice!</p></section></article></main>
+<aside>Related</aside><footer>&copy; x</footer></body></html>"""
+
+
+def test_html_rules():
+    assert html.extract(PAGE.format("x")) == "Title x\n\nFirst part of x & more next bold line\n\nSecond x\n\na x\n\nb\n\nFollow us now"
+    assert html.extract(None) == html.extract("") == html.extract("<nav>menu<p>x</nav>") == ""
+    assert html.extract("<body><p>one<p>two <br") == "one\n\ntwo"
+    assert html.extract("<article><p>a &am") == "a &am"
+    assert html.extract("a <b>c</b><!-- x --> d" + "<i" * 3) == "a c d"
+
+
+def test_html_templates(spark):
+    rows = [(i, "http://Host.example/a" if i else None, PAGE.format(i), "z") for i in range(20)]
+    rows += [(100 + i, "http://host.example/b", PAGE.format(7), "z") for i in range(30)]  # copies of one page
+    rows += [(200, None, None, "z"), (201, "http://other.example", PAGE.format("y"), None)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = {r.id: r.text for r in html.main_text(table).collect()}
+    assert got[3] == "Title 3\n\nFirst part of 3 & more next bold line\n\nSecond 3\n\na 3"  # "b" and "Follow us" are on every page
+    assert got[101] == got[7] and got[200] == "" and got[201].endswith("b\n\nFollow us now")
+    assert len(got) == len(rows) and html.main_text(table.limit(0)).count() == 0
+
+
+# --- queries and pipeline
+
+
+@pytest.mark.parametrize("name", queries.QUERIES)
+def test_query(spark, name):
+    rows = queries.QUERIES[name](spark, SF)
+    source = {"op5_pivots": "embeddings", "op10_html": "pages"}.get(name, "documents")
+    assert rows.count() == spark.read.parquet(f"{SF}/{source}.parquet").count()
+
+
+def test_pipeline(spark, docs):
+    out = corpus_pipeline.run(spark, SF)
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = out.collect()
+    assert 0.6 * len(before) < len(rows) < len(before)
+    assert {r.doc_id for r in rows} <= before.keys()
+    for r in rows:
+        assert set(r.text.split("\n")) <= {*before[r.doc_id].split("\n"), ""}
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "lines", "simhash", "benchmark", "pieces"]
+
+
+def test_pipeline_edges(spark, docs):
+    table = docs.withColumn("n_chars", F.length("text")).select("doc_id", "text", "lang", "source", "n_chars", "score")
+    for rows in (table, table.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, rows, SF)
+            if name != "pieces":
+                assert out.columns == rows.columns
+                assert out.count() <= rows.count()
+            else:
+                assert out.count() == rows.count()
