@@ -33,7 +33,8 @@ LENGTH = 100
 GRAM = 32
 HALF = 50
 HOT = 50_000
-SLICE = 40_000  # bucket members refined at once
+SLICE = 20_000  # bucket members refined at once
+CHUNK_BYTES = 3 << 20
 _AT = np.uint64((1 << 31) - 1)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -53,7 +54,6 @@ class Members:
     def __init__(self, texts: list[bytes], first_doc: int, rolling: Rolling):
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.begin = np.cumsum([0] + [len(t) for t in texts])
-        self.sums = rolling.sums(self.data)
         self.rolling = rolling
         self.first = first_doc
         n = len(self.data) - LENGTH + 1
@@ -61,9 +61,10 @@ class Members:
             self.lo = self.hi = self.at = self.doc = np.zeros(0, np.int64)
             self.gram = np.zeros(0, np.uint64)
             return
-        places = np.arange(len(self.data) - GRAM + 1)
-        grams = rolling.of(self.sums, places, places + GRAM)
-        least = _least((grams & ~_AT) | places.astype(np.uint64), LENGTH - GRAM + 1)[:n]
+        sums = rolling.sums(self.data)
+        places = np.arange(len(self.data) - GRAM + 1, dtype=np.uint64)
+        grams = _mixed((sums[GRAM:] - sums[:-GRAM]) * rolling.down[: len(places)])
+        least = _least((grams & ~_AT) | places, LENGTH - GRAM + 1)[:n]
         at = (least & _AT).astype(np.int64)
         doc = np.repeat(np.arange(len(texts)), np.diff(self.begin))[:n]
         whole = np.flatnonzero(np.arange(n) + LENGTH <= self.begin[doc + 1])
@@ -85,8 +86,9 @@ class Members:
         member = np.repeat(np.arange(len(sizes)), sizes)
         start = np.arange(len(member)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + self.lo[member]
         bucket = _mixed(self.gram[member] + (self.at[member] - start).astype(np.uint64) * _STEP)
-        near = self.rolling.of(self.sums, start, start + HALF)
-        far = self.rolling.of(self.sums, start + HALF, start + LENGTH)
+        sums = self.rolling.sums(self.data)  # not kept, eight bytes for each of the text
+        near = self.rolling.of(sums, start, start + HALF)
+        far = self.rolling.of(sums, start + HALF, start + LENGTH)
         return member, start, bucket, near, far
 
 
@@ -159,7 +161,7 @@ class Open:
             kind[at] = two[:, 0] * 2 + two[:, 1]
         kind, done = kind[of], 0
         self.kind, self.gram, self.bytes, self.offset = [], [], [], []
-        columns: list[list[np.ndarray]] = [[] for _ in range(7)]
+        columns: list[list[np.ndarray]] = [[] for _ in range(6)]
         members = 0
         for m in pieces:
             mine = kind[done : done + len(m.gram)]
@@ -167,7 +169,7 @@ class Open:
             m.keep(mine > 0)
             member, start, bucket, near, far = m.strings()
             local = start - m.begin[m.doc[member] - m.first]
-            for column, values in zip(columns, (member + members, m.doc[member], local, bucket, near, far, start)):
+            for column, values in zip(columns, (member + members, m.doc[member], local, bucket, near, far)):
                 column.append(values)
             self.kind.append(mine[mine > 0])
             self.gram.append(m.gram)
@@ -285,7 +287,7 @@ def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept): removed byte ranges and the bytes that stay, per row."""
     spark = docs.sparkSession
-    blocks = Blocks(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
+    blocks = Blocks(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), CHUNK_BYTES)
     n = blocks.buckets
     sizes = blocks.answers(blocks.ask(_ask_sizes(n)), _answer_sizes(hot))
     found = blocks.answers(blocks.ask(_ask_strings(n), sizes), _answer_strings)
