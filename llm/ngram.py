@@ -32,7 +32,7 @@ from llm.blocks import Blocks
 
 K = 5  # counts above it are not discounted
 BEGIN, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -151,14 +151,15 @@ class Chunk:
         self.sizes = sizes + 1
         self.cur = np.insert(words, ends, END)
         self.prev = np.insert(words, ends - sizes, BEGIN)
-        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
-        self.words, self.of_cur = np.unique(self.cur, return_inverse=True)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.sizes)
+        self.words, of_cur = np.unique(self.cur, return_inverse=True)
+        self.of_cur = of_cur.astype(np.int32)
 
     def bigrams(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of one token per distinct bigram, and the bigram of each token."""
         key = _mixed(self.prev) + self.cur
         _, first, of_token = np.unique(key, return_index=True, return_inverse=True)
-        return first, of_token
+        return first, of_token.astype(np.int32)
 
 
 def _held(ids: list) -> np.ndarray:
@@ -232,11 +233,17 @@ def _ask_bigrams(n: int, hot: float):
             prev, start = np.unique(chunk.prev[first[at]], return_index=True)
             runs = np.diff(np.append(start, len(at))).astype(np.int32)
             cur = chunk.cur[first[at]].view(np.uint8).reshape(-1, 8)[:, :6]
-            yield bucket, tuple(x.tobytes() for x in (prev, runs, spread[at[start]], cur, seen[at], of_word[at]))
+            counted = (_narrow(seen[at]), _narrow(of_word[at]))
+            yield bucket, (*(x.tobytes() for x in (prev, runs, spread[at[start]], cur)), *counted)
 
     return ask
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max()) if len(counts) else 0))
+
+
 class _Contexts:
     """The bigrams of one bucket, merged over all chunks."""
 
@@ -249,8 +256,8 @@ class _Contexts:
             wide = np.zeros((len(c) // 6, 8), np.uint8)
             wide[:, :6] = np.frombuffer(c, np.uint8).reshape(-1, 6)
             cur.append(wide.view(np.uint64)[:, 0])
-            seen.append(np.frombuffer(n, np.int32))
-            of_word.append(np.frombuffer(w, np.int64))
+            seen.append(n)
+            of_word.append(w.astype(np.int64))
             sizes.append(len(seen[-1]))
         self.cuts = np.cumsum(sizes)[:-1].tolist()
         prevs, curs = np.concatenate(prev), np.concatenate(cur)
