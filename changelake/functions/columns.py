@@ -77,11 +77,15 @@ def compact_json(col: Column) -> Column:
     return F.when(col.rlike(r"[ \n\r\t]"), F.regexp_replace(col, tokens, "$1")).otherwise(col)
 
 
+# Null fields are left out whatever the session says.
+_NO_NULLS = {"ignoreNullFields": "true"}
+
+
 def change_line() -> Column:
     """One change as a JSON line: fixed field order, body embedded raw, nulls left out."""
-    head = F.to_json(F.struct("index", "id"))
+    head = F.to_json(F.struct("index", "id"), _NO_NULLS)
     tail = F.to_json(
-        F.struct("seq_no", "primary_term", "op_type", "routing", "shard_id", "timestamp_ms")
+        F.struct("seq_no", "primary_term", "op_type", "routing", "shard_id", "timestamp_ms"), _NO_NULLS
     )
     body = F.coalesce(F.concat(F.lit(',"source":'), compact_json(F.col("source"))), F.lit(""))
     return F.concat(
@@ -90,7 +94,7 @@ def change_line() -> Column:
 
 
 def bulk_action() -> Column:
-    """One change as bulk text: an action line and, for INDEX, the body on a second line."""
+    """One change as bulk text: an action line and, for INDEX, the body on a second line, without line breaks."""
     action = F.to_json(
         F.struct(
             F.col("index").alias("_index"),
@@ -98,8 +102,9 @@ def bulk_action() -> Column:
             version().alias("version"),
             F.lit("external").alias("version_type"),
             F.col("routing"),
-        )
+        ),
+        _NO_NULLS,
     )
     verb = F.when(F.col("op_type") == INDEX, F.lit("index")).otherwise(F.lit("delete"))
     body = F.when(F.col("op_type") == INDEX, F.col("source"))
-    return F.concat_ws("\n", F.concat(F.lit('{"'), verb, F.lit('":'), action, F.lit("}")), body)
+    return F.concat_ws("\n", F.concat(F.lit('{"'), verb, F.lit('":'), action, F.lit("}")), compact_json(body))

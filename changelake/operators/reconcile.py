@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changelake.functions.columns import compact_json
 from changelake.plans.ordered import ROWS_PER_SEGMENT, SEGMENT, carry, cut_by_ordinal, max_before
 from changelake.schema import DOC_KEY, SHARD_KEY
 
@@ -15,16 +16,19 @@ def _status() -> Column:
     return (
         F.when(F.col("in_active").isNull(), "MISSING_ACTIVE")
         .when(F.col("in_passive").isNull(), "MISSING_PASSIVE")
-        .when(F.col("active_source").eqNullSafe(F.col("passive_source")), MATCH)
+        .when(F.col("active_digest").eqNullSafe(F.col("passive_digest")), MATCH)
         .otherwise("CONTENT_MISMATCH")
     )
 
 
+def _digest(name: str) -> Column:
+    """A body is compared by 64 characters, so that bodies are not shuffled, and without its white space."""
+    return F.sha2(compact_json(F.col("source")).cast("binary"), 256).alias(name)
+
+
 def _paired(active: DataFrame, passive: DataFrame) -> DataFrame:
-    left = active.select(*DOC_KEY, F.col("source").alias("active_source"), F.lit(True).alias("in_active"))
-    right = passive.select(
-        *DOC_KEY, F.col("source").alias("passive_source"), F.lit(True).alias("in_passive")
-    )
+    left = active.select(*DOC_KEY, _digest("active_digest"), F.lit(True).alias("in_active"))
+    right = passive.select(*DOC_KEY, _digest("passive_digest"), F.lit(True).alias("in_passive"))
     return left.join(right, DOC_KEY, "full_outer")
 
 

@@ -21,8 +21,8 @@ from changelake.schema import APPLIED, ARRIVAL, CONFLICT, DOC_KEY, FAILED, INDEX
 
 
 def arrival_order(deliveries: DataFrame) -> DataFrame:
-    """Deliveries in the order they arrived: first in, first out inside a batch."""
-    return deliveries.orderBy(*ARRIVAL)
+    """Deliveries in the order they arrived, first in, first out, inside each batch."""
+    return deliveries.repartition("batch_key").sortWithinPartitions("batch_key", *ARRIVAL)
 
 
 def redelivered(first: DataFrame, again: DataFrame) -> DataFrame:

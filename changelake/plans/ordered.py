@@ -21,21 +21,15 @@ from pyspark.sql import functions as F
 SEGMENT = "_segment"
 ROWS_PER_SEGMENT = 1_000_000
 
-# At most this many groups are cut, largest first. A group that is left whole has
-# therefore at most 1/10,000 of all rows, and the broadcast list of cut groups has at
-# most this many short rows whatever the size of the data.
-MAX_CUT_GROUPS = 10_000
-
-
 # Room for the second cut below one value of the first.
-_FINER = 1 << 20
+_FINER = 1 << 32
 
 
 def _ranges(
     rows: DataFrame, keys: Sequence[str], lead: str, limit: int, finer: int = 1
 ) -> DataFrame:
     """Groups of `rows` above `limit`, with the start and width of even pieces of their range."""
-    pieces = F.least(F.ceil(F.col("_rows") / F.lit(limit)) * F.lit(finer), F.lit(_FINER))
+    pieces = F.ceil(F.col("_rows") / F.lit(limit)) * F.lit(finer)
     span = F.col("_last") - F.col("_first") + F.lit(1)
     return (
         rows.groupBy(*keys)
@@ -45,8 +39,6 @@ def _ranges(
             F.max(lead).alias("_last"),
         )
         .filter(F.col("_rows") > limit)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(MAX_CUT_GROUPS)
         .select(*keys, "_first", F.greatest(F.lit(1), F.ceil(span / pieces)).alias("_width"))
     )
 
@@ -63,11 +55,13 @@ def cut_hot_groups(
     `lead` is the leading ordering column, an integer ordinal. Rows where it is null sort
     first. If it is unique within a group, fixed-width segments are small whatever the
     spread of the values. If not, the range of a group is cut evenly, and pieces in which
-    the values crowd are cut once more, 32 times finer than their rows alone would ask for.
+    the values crowd are cut once more, 32 times finer than their rows alone would ask for. Every
+    group above the limit is cut. The list of such groups has one row per `rows_per_segment` rows
+    at most; Spark chooses how to join it by its size, which it knows when the counts are done.
     """
     place = F.expr(f"(`{lead}` - _first) div _width")
     hot = _ranges(df, keys, lead, rows_per_segment)
-    cut = df.join(F.broadcast(hot), list(keys), "left")
+    cut = df.join(hot, list(keys), "left")
     is_hot = F.col("_width").isNotNull()
     if unique_lead:
         place = F.expr(f"(`{lead}` - _first) div {int(rows_per_segment)}")
@@ -79,7 +73,7 @@ def cut_hot_groups(
     )
     finer = F.col(SEGMENT) * _FINER + F.coalesce(place, F.lit(0))
     return (
-        once.join(F.broadcast(crowded), [*keys, SEGMENT], "left")
+        once.join(crowded, [*keys, SEGMENT], "left")
         .withColumn(SEGMENT, finer)
         .drop("_first", "_width")
     )

@@ -38,13 +38,12 @@ def test_rows_without_order_value_come_first(spark):
     assert tuples(cut.filter("g = 'hot' AND o IS NULL"), "_segment") == [(lowest,)]
 
 
-def test_only_the_largest_groups_are_cut_beyond_the_limit(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "MAX_CUT_GROUPS", 2)
+def test_every_group_above_the_limit_is_cut(spark):
     df = spark.range(600).select((F.floor(F.sqrt("id")) % 4).alias("g"), F.col("id").alias("o"))
     cut = ordered.cut_hot_groups(df, ["g"], "o", 10)
-    sizes = dict(tuples(df.groupBy("g").count(), "g", "count"))
-    largest = sorted(sizes, key=lambda g: (-sizes[g], g))[:2]
-    assert {r.g for r in cut.filter("_segment IS NOT NULL").select("g").distinct().collect()} == set(largest)
+    assert cut.filter("_segment IS NULL").count() == 0
+    many = spark.range(36_006).select((F.col("id") % 12_002).alias("g"), F.col("id").alias("o"))
+    assert ordered.cut_hot_groups(many, ["g"], "o", 2).filter("_segment IS NULL").count() == 0
     got = ordered.number_rows(df, ["g"], ["o"], "o", rows_per_segment=10)
     seen = {}
     for r in got.orderBy("o").collect():

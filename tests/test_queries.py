@@ -7,7 +7,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from changelake.oracle import ORACLES
+from changelake.queries import QUERIES
 from check import TYPES, rows
 
 SF = "/root/testdata/sf0.001"
@@ -22,17 +24,17 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF)
-    cursor = con.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    cursor = con.execute(ORACLES[name])
     types = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in cursor.description}
     assert dict(df.dtypes) == types
     want = pd.DataFrame(cursor.fetchall(), columns=list(types), dtype=object)

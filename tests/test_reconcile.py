@@ -92,3 +92,16 @@ def test_live_copy_after_full_replay_is_in_sync(spark):
     live = replay.live_docs(replay.latest_state(log))
     twice = replay.live_docs(replay.apply_changes(replay.latest_state(log), log))
     assert reconcile.reconcile_docs(live, twice).filter("status <> 'MATCH'").count() == 0
+
+
+def test_white_space_in_a_body_is_no_difference(spark):
+    from changelake.functions.columns import bulk_action
+    from helpers import change, changes
+
+    spaced = changes(spark, [change("d1", 0, source='{\n "a": 1.50,\t"b": "x  \\" y"}')])
+    tight = changes(spark, [change("d1", 0, source='{"a":1.50,"b":"x  \\" y"}')])
+    other = changes(spark, [change("d1", 0, source='{"a":1.5,"b":"x  \\" y"}')])
+    assert [r.status for r in reconcile.reconcile_docs(spaced, tight).collect()] == ["MATCH"]
+    assert [r.status for r in reconcile.reconcile_docs(spaced, other).collect()] == ["CONTENT_MISMATCH"]
+    text = spaced.select(bulk_action()).first()[0]
+    assert text == tight.select(bulk_action()).first()[0] and text.count("\n") == 1
