@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from llm.common import partitions, utf8
 
-CHUNK_BYTES = 5 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20  # of text per bucket, so that a bucket's merge fits a worker at any size of the input
 
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import stored, utf8
+from llm.common import short_batches, stored, utf8
 
 WINDOW = 10
 PART_BYTES = 3 << 20
@@ -90,6 +90,7 @@ def runs(firsts: np.ndarray, lasts: np.ndarray) -> list[tuple[int, int]]:
 
 def scanner(spark: SparkSession, windows: list[bytes]) -> Callable[[Column], Column]:
     """A column function: text -> struct (n_words, windows, spans): the windows that occur, and runs of hit words with their place."""
+    short_batches(spark)
     sent = spark.sparkContext.broadcast(Windows(windows))
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

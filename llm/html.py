@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.common import short_batches
+
 SHARE, LEAST = 0.5, 5
 
 _MARK = re.compile(
@@ -252,6 +254,7 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> Dat
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text) per page."""
+    short_batches(pages.sparkSession)
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _host(F.col(url_col)).alias("host")
     )

@@ -33,6 +33,7 @@ from llm.ngram import _places
 from llm.suffix import _numbers
 
 MIN_WORDS = 8
+CHUNK_BYTES = 2 << 20
 _hash = xxhash.xxh64_intdigest
 
 
@@ -263,7 +264,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     row = F.struct(
         F.col(id_col).cast("long").alias("_id"), F.col(text_col).isNull().alias("_null"), F.struct(*rest).alias("_rest")
     )
-    blocks = Blocks(docs.select(row.alias("id"), F.col(text_col).alias("text")))
+    blocks = Blocks(docs.select(row.alias("id"), F.col(text_col).alias("text")), CHUNK_BYTES)
     n = blocks.buckets
     lines = blocks.answers(blocks.ask(_ask_lines(n)), _answer_lines)
     variants = blocks.answers(blocks.ask(_ask_variants(n), lines), _answer_variants)

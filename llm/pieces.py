@@ -29,13 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.common import short_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT = 1 << 16  # characters
 CHUNK = 1 << 14
 SPACE = "▁"
 _LOW = -(1 << 62)
 _WORD = re.compile(" *[^ ]+| +")
-_KEPT = 300_000
+_KEPT = 50_000
 _SHAPE = "ids array<int>, score double"
 
 
@@ -191,6 +193,7 @@ def encode(
     chunk: int = CHUNK,
 ) -> DataFrame:
     """`docs` with `ids` (array<int>) and `score` (sum of piece scores)."""
+    short_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary := Vocabulary(model))
     wide = vocabulary.width
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import components, forest, in_pieces, lower_words, stored
+from llm.common import components, forest, in_pieces, lower_words, short_batches, stored
 
 SEED = 42
 RADIUS = 4
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t, shingle) for t in batch["text"]], dtype=np.uint64)
             yield pd.DataFrame({"id": batch["id"], "fp": found.view(np.int64)})
 
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(work, "id long, fp long")
 

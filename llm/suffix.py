@@ -34,7 +34,7 @@ GRAM = 32
 HALF = 50
 HOT = 50_000
 SLICE = 20_000  # bucket members refined at once
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 _AT = np.uint64((1 << 31) - 1)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.common import short_batches
+
 MAX_ROWS = 20_000
 MAX_FEATURES = 5_000
 THRESHOLD = 0.3
@@ -65,7 +67,7 @@ class Lexicon:
     def of(self, word: str) -> tuple[int, ...]:
         hit = self._known.get(word)
         if hit is None:
-            if len(self._known) > 200_000:
+            if len(self._known) > 50_000:
                 self._known.clear()
             hit = tuple(i for f in features(word) if (i := self.index.get(f)) is not None)
             self._known[word] = hit
@@ -267,6 +269,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_feat
     ids = marked.orderBy(F.xxhash64("id"), "id", "toxic").limit(max_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     chosen = texts.join(F.broadcast(ids), "id")
+    short_batches(docs.sparkSession)
     chosen = chosen.persist()
     clean, toxic = (chosen.filter(F.col("toxic") == k).count() for k in (0, 1))
     if not clean or not toxic:
@@ -322,6 +325,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_feat
 
 def scorer(spark: SparkSession, tagger: Tagger) -> Callable[[Column], Column]:
     """A column function: text -> struct (score, spans); spans are offending tokens (start, end, marginal) in characters."""
+    short_batches(spark)
     sent = spark.sparkContext.broadcast(tagger)
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
