@@ -262,7 +262,7 @@ class _Contexts:
         self.cuts = np.cumsum(sizes)[:-1].tolist()
         prevs, curs = np.concatenate(prev), np.concatenate(cur)
         _, first, self.of = np.unique(_mixed(prevs) + _mixed(curs), return_index=True, return_inverse=True)
-        self.prev = prevs[first]
+        self.prev, self.cur = prevs[first], curs[first]
         self.count = np.bincount(self.of, np.concatenate(seen), len(first)).astype(np.int64)
         self.p_word = unigrams.p(np.concatenate(of_word)[first])
         self.contexts, start, self.context = np.unique(self.prev, return_index=True, return_inverse=True)
@@ -366,21 +366,26 @@ class Model:
         )
 
     def bigram_table(self) -> DataFrame:
-        """(bucket, context, word, count): bigrams of the training texts as hashes, for a table partitioned by bucket."""
+        """(bucket, context, word, count): bigrams of the training texts, as 64- and 48-bit hashes."""
         unigrams = self.unigrams
 
         def rows(bucket: int, sent: Iterator) -> Iterator[tuple]:
             got = [payload for _, payload in sent if payload is not None]
             if got:
                 here = _Contexts(got, unigrams)
-                for c, n, p in zip(here.prev.view(np.int64).tolist(), here.count.tolist(), here.p_word.tolist()):
+                for c, w, n in zip(here.prev.view(np.int64).tolist(), here.cur.tolist(), here.count.tolist()):
                     if n:
-                        yield bucket, c, n, p
+                        yield bucket, c, w, n
 
-        shape = "bucket int, context long, count long, p_word double"
+        shape = "bucket int, context long, word long, count long"
         return self.spark.createDataFrame(self.pairs.mapPartitionsWithIndex(rows), shape, verifySchema=False)
 
 
+    def store(self, path: str) -> None:
+        """Write the bigram counts as a table partitioned by bucket."""
+        self.bigram_table().write.partitionBy("bucket").parquet(path)
+
+
 def _total(asked: RDD, counts_of) -> Counts:
     def count(sent: Iterator) -> Iterator[Counts]:
         got = [payload for _, payload in sent if payload is not None]

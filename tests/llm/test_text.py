@@ -275,3 +275,15 @@ def test_lines(spark, docs):
     assert out.columns == ["doc_id", "text", "n_lines", "n_dropped"]
     assert lines.dedup_lines(docs.limit(0)).count() == 0
     assert lines.dedup_lines(docs).count() == docs.count()
+
+
+def test_katz_table(spark, docs):
+    from llm.common import scratch_dir
+
+    model = ngram.Model(docs)
+    path = scratch_dir(spark, "bigrams")
+    model.store(path)
+    stored = spark.read.parquet(path)
+    assert stored.agg({"count": "sum"}).first()[0] == model.unigram_counts.tokens
+    assert stored.select("context", "word").distinct().count() == stored.count() == model.bigram_counts.types
+    assert ngram.Model(docs.limit(0)).score().count() == 0
