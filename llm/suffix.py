@@ -33,8 +33,8 @@ LENGTH = 100
 GRAM = 32
 HALF = 50
 HOT = 50_000
-SLICE = 20_000  # bucket members refined at once
-CHUNK_BYTES = 2 << 20
+SLICE = 10_000  # bucket members refined at once
+CHUNK_BYTES = 1 << 20
 _AT = np.uint64((1 << 31) - 1)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -170,14 +170,14 @@ class Open:
             member, start, bucket, near, far = m.strings()
             local = start - m.begin[m.doc[member] - m.first]
             for column, values in zip(columns, (member + members, m.doc[member], local, bucket, near, far)):
-                column.append(values)
+                column.append(values if values.dtype == np.uint64 else values.astype(np.int32))
             self.kind.append(mine[mine > 0])
             self.gram.append(m.gram)
             self.bytes += [(m.data, a, b + LENGTH) for a, b in zip(m.lo.tolist(), m.hi.tolist())]
             self.offset.append(m.at - m.lo)
             members += len(m.gram)
         join = lambda parts, kind_: np.concatenate(parts) if parts else np.zeros(0, kind_)
-        self.member, self.doc, self.start = (join(c, np.int64) for c in columns[:3])
+        self.member, self.doc, self.start = (join(c, np.int32) for c in columns[:3])
         self.bucket, self.near, self.far = (join(c, np.uint64) for c in columns[3:6])
         self.kind, self.gram, self.offset = join(self.kind, np.uint8), join(self.gram, np.uint64), join(self.offset, np.int64)
         self.ids = _numbers(ids)
