@@ -113,6 +113,8 @@ def replay_verdicts(
     rows = deliveries.withColumn("_rejected", refused).withColumn("_raises", F.when(~F.col("_rejected"), version()))
     if state is not None:
         stored = state.select(*DOC_KEY, F.col("version").alias("_raises"), F.lit(True).alias("_stored"))
+        # documents that no event touches stay out of the sort
+        stored = stored.join(deliveries.select(*DOC_KEY).distinct(), DOC_KEY, "left_semi")
         rows = rows.withColumn("_stored", F.lit(False)).unionByName(stored, allowMissingColumns=True)
     else:
         rows = rows.withColumn("_stored", F.lit(False))

@@ -14,6 +14,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def claim(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """Let `root` belong to the stream with this checkpoint; another one would mix their epochs."""
+    place = f"{root}/owner"
+    if exists(spark, f"{place}/_SUCCESS"):
+        owner = spark.read.schema("checkpoint string").parquet(place).first()[0]
+        if owner != checkpoint:
+            raise ValueError(f"{root} belongs to the stream with checkpoint {owner}")
+    else:
+        spark.createDataFrame([(checkpoint,)], "checkpoint string").write.mode("overwrite").parquet(place)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate files, inside the shared `spark.checkpoint.dir`.
 
