@@ -37,7 +37,7 @@ CHUNK = 1 << 14
 SPACE = "▁"
 _LOW = -(1 << 62)
 _WORD = re.compile(" *[^ ]+| +")
-_KEPT = 50_000
+_KEPT = 200_000
 _SHAPE = "ids array<int>, score double"
 
 
@@ -68,12 +68,11 @@ class Vocabulary:
         self.table = {p: (i, self._whole(s, p)) for p, (i, s) in found.items()}
         self.unknown = self._whole(worst, "")
         self.width = max(map(len, self.table), default=1)
-        longest: dict[str, int] = {}
-        for p in self.table:
-            longest[p[0]] = max(longest.get(p[0], 0), len(p))
-        self.longest = longest
+        # every beginning of a piece, with the piece's sum if it is one itself: a search stops where nothing goes on
+        self.starts: dict[str, int | None] = {p[:k]: None for p in self.table for k in range(1, len(p))}
+        self.starts |= {p: s for p, (_, s) in self.table.items()}
         self.parted = not any(" " in p.lstrip(" ") for p in self.table)
-        self._known: dict[str, tuple[bytes, int]] = {}
+        self._known: dict[str, bytes] = {}
 
     def _whole(self, score: float, piece: str) -> int:
         """The score in `unit`s, times 64, plus a tie-breaking part below 64."""
@@ -86,25 +85,27 @@ class Vocabulary:
         """Best sums to every end, over pieces that begin in [start, stop), and where the last piece begins."""
         best, back = [_LOW] * (len(x) + 1), [-1] * (len(x) + 1)
         best[start] = 0
-        table, longest = self.table, self.longest
+        table, starts, size = self.table, self.starts, len(x)
         for p in range(start, stop):
             here = best[p]
             if here == _LOW:
                 continue
-            reach = longest.get(x[p], 0)
-            for q in range(p + 1, min(p + reach, len(x)) + 1):
-                hit = table.get(x[p:q])
-                if hit is not None and here + hit[1] > best[q]:
-                    best[q], back[q] = here + hit[1], p
+            for q in range(p + 1, size + 1):
+                part = x[p:q]
+                if part not in starts:
+                    break
+                gain = starts[part]
+                if gain is not None and here + gain > best[q]:
+                    best[q], back[q] = here + gain, p
             if x[p] not in table and here + self.unknown > best[p + 1]:
                 best[p + 1], back[p + 1] = here + self.unknown, p
         return best, back
 
-    def word(self, x: str) -> tuple[bytes, int]:
-        """Ids, as 32-bit integers, and sum of the best path through `x`."""
+    def word(self, x: str) -> bytes:
+        """Ids of the best path through `x`, as 32-bit integers."""
         hit = self._known.get(x)
         if hit is None:
-            best, back = self.paths(x, 0, len(x))
+            _, back = self.paths(x, 0, len(x))
             ids, at = [], len(x)
             while at:
                 piece = x[back[at] : at]
@@ -113,10 +114,8 @@ class Vocabulary:
                 else:
                     ids += [self.bytes[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
                 at = back[at]
-            hit = np.array(ids[::-1], "<i4").tobytes(), best[-1]
-            if len(x) <= 40:
-                if len(self._known) >= _KEPT:
-                    self._known.clear()
+            hit = np.array(ids[::-1], "<i4").tobytes()
+            if len(x) <= 40 and len(self._known) < _KEPT:  # common words come early
                 self._known[x] = hit
         return hit
 
@@ -126,7 +125,7 @@ class Vocabulary:
     def encode(self, x: str) -> tuple[np.ndarray, float]:
         """Ids and score of a prepared text, from border to border."""
         known = self._known.get
-        ids = np.frombuffer(b"".join([(known(w) or self.word(w))[0] for w in self.words(x)]), "<i4")
+        ids = np.frombuffer(b"".join([known(w) or self.word(w) for w in self.words(x)]), "<i4")
         return ids, float(self.scores[ids].sum())
 
     def decode(self, ids: list[int]) -> str:
@@ -150,7 +149,7 @@ class Vocabulary:
                     out[s, e] = best[size + e]
             return out
         first, last = safe[0], safe[-1]
-        middle = sum(self.word(w)[1] for w in self.words(x[first:last]))
+        middle = sum(self.paths(w, 0, len(w))[0][-1] for w in self.words(x[first:last]))
         head = [self.paths(x[:first], s, first)[0][first] if s <= first else _LOW for s in range(wide)]
         tail, _ = self.paths(x[last:], 0, size - last)
         for s, a in enumerate(head):
