@@ -1,24 +1,32 @@
-"""SentencePiece encoding and decoding by a max-plus parallel scan.
-
-A text, with a leading space and spaces written as U+2581, is cut into pieces of the vocabulary so that
-the sum of their scores is largest (the unigram search of the SentencePiece library; a model of another
-kind gives its scores, its own merge rules are not used). A character without a piece becomes byte pieces.
-
-Giant texts are cut into chunks at fixed places. A piece may cross a border by up to L - 1 characters; how
-far it does is the state there. Each chunk yields the L x L matrix of best sums from one border state to the
-next, the matrices are combined by max-plus products, which are associative, and when the border states are
-known every chunk is traced back by itself. No piece has U+2581 behind another character, so best paths meet in
-front of it; a chunk is therefore cut there into words, whose encodings are kept, and only its first
+"""SentencePiece encoding and decoding: the merges of a BPE model per word, the max-plus scan for a unigram one.
+
+A text, with a leading space and spaces written as U+2581, is cut into pieces of the vocabulary as the
+SentencePiece library does for the model's kind. A character without a piece becomes byte pieces.
+
+BPE: starting from characters, the adjacent pair whose joint piece has the highest score is merged, the
+leftmost of equal ones first, until no pair is a piece. The result is not the path with the largest sum of
+scores (they are ranks), so a max-plus scan cannot give it. No piece has U+2581 behind another character, so
+no merge crosses the border in front of it: words are merged by themselves and common ones are kept.
+Giant texts are cut into chunks at fixed places; the words that lie in one chunk are encoded there, and what
+stands between the last border of one chunk and the first of a later one is put together again and encoded
+as a row of its own. A single word is always merged in one piece, in O(n log n).
+
+Unigram (and any other kind): the sum of the scores is largest. Giant texts are cut into chunks at fixed places.
+A piece may cross a border by up to L - 1 characters; how far it does is the state there. Each chunk yields the
+L x L matrix of best sums from one border state to the next, the matrices are combined by max-plus products,
+which are associative, and when the border states are known every chunk is traced back by itself. Best paths
+meet in front of U+2581; a chunk is therefore cut there into words, whose encodings are kept, and only its first
 and last word are tried for several states. Scores are integers with a tie-breaking part per
 piece, so sums are exact and chunked and whole texts give the same ids.
 
 Cases: null texts have null ids, empty texts none. A U+2581 of the text itself becomes bytes, so that
-decode(encode(text)) is the text. Repeated rows get equal ids. `ids` and `score` replace columns of
-those names; other columns are passed on.
+decode(encode(text)) is the text (the library takes it for a space). Repeated rows get equal ids. `ids` and
+`score` replace columns of those names; other columns are passed on.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -26,6 +34,7 @@ import numpy as np
 import pandas as pd
 import sentencepiece
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +46,38 @@ CHUNK = 1 << 14
 SPACE = "▁"
 _LOW = -(1 << 62)
 _WORD = re.compile(" *[^ ]+| +")
+_BORDER = re.compile("[^ ](?= )")
 _KEPT = 200_000
 _SHAPE = "ids array<int>, score double"
+BPE = 2  # TrainerSpec.model_type
+
+
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a protobuf message."""
+
+    def varint(at: int) -> tuple[int, int]:
+        value = shift = 0
+        while True:
+            value |= (data[at] & 0x7F) << shift
+            shift, at = shift + 7, at + 1
+            if data[at - 1] < 0x80:
+                return value, at
+
+    at = 0
+    while at < len(data):
+        tag, at = varint(at)
+        if tag & 7 == 0:
+            value, at = varint(at)
+        else:
+            size, at = {1: (8, at), 5: (4, at)}.get(tag & 7) or varint(at)
+            value, at = data[at : at + size], at + size
+        yield tag >> 3, value
+
+
+def model_type(model: bytes) -> int:
+    """1 unigram (the default), 2 BPE, 3 word, 4 character."""
+    trainer = b"".join(v for k, v in _fields(model) if k == 2)
+    return next((v for k, v in _fields(trainer) if k == 3), 1)
 
 
 class Vocabulary:
@@ -46,6 +85,8 @@ class Vocabulary:
 
     def __init__(self, path: str = MODEL):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.bpe = model_type(model.serialized_model_proto()) == BPE
+        self.merges: dict[str, tuple[int, float]] = {}  # of a BPE model: every piece that a merge may give
         self.decoded: list[bytes] = []
         found, self.bytes = {}, [-1] * 256
         for i in range(model.get_piece_size()):
@@ -57,6 +98,7 @@ class Vocabulary:
                 self.decoded.append(b"")
             else:
                 self.decoded.append(piece.replace(SPACE, " ").encode())
+                self.merges[piece.replace(SPACE, " ")] = (i, model.get_score(i))
                 if model.get_score(i) > -1e8:  # below: pieces the model keeps out of the search
                     found[piece.replace(SPACE, " ")] = (i, model.get_score(i))
         worst = min((s for _, s in found.values()), default=0.0) - 10
@@ -71,7 +113,7 @@ class Vocabulary:
         # every beginning of a piece, with the piece's sum if it is one itself: a search stops where nothing goes on
         self.starts: dict[str, int | None] = {p[:k]: None for p in self.table for k in range(1, len(p))}
         self.starts |= {p: s for p, (_, s) in self.table.items()}
-        self.parted = not any(" " in p.lstrip(" ") for p in self.table)
+        self.parted = not any(" " in p.lstrip(" ") for p in (self.merges if self.bpe else self.table))
         self._known: dict[str, bytes] = {}
 
     def _whole(self, score: float, piece: str) -> int:
@@ -101,20 +143,51 @@ class Vocabulary:
                 best[p + 1], back[p + 1] = here + self.unknown, p
         return best, back
 
+    def merged(self, x: str) -> list[str]:
+        """The pieces that BPE merges make of `x`; the best pair first, the leftmost of equal ones."""
+        merges, size = self.merges, len(x)
+        end = list(range(1, size + 1))  # end[i]: where the piece that begins at i ends, 0 if none begins there
+        before = list(range(-1, size))  # where the piece in front of the one at i begins
+        pairs = [(-merges[x[i : i + 2]][1], i, i + 2) for i in range(size - 1) if x[i : i + 2] in merges]
+        heapq.heapify(pairs)
+        while pairs:
+            _, i, stop = heapq.heappop(pairs)
+            j = end[i]
+            if not j or j >= stop or end[j] != stop:  # one of the two was merged meanwhile
+                continue
+            end[i], end[j] = stop, 0
+            if stop < size:
+                before[stop] = i
+                if (found := merges.get(x[i : end[stop]])) is not None:
+                    heapq.heappush(pairs, (-found[1], i, end[stop]))
+            if i and (found := merges.get(x[before[i] : stop])) is not None:
+                heapq.heappush(pairs, (-found[1], before[i], stop))
+        out, at = [], 0
+        while at < size:
+            out.append(x[at : end[at]])
+            at = end[at]
+        return out
+
+    def _searched(self, x: str) -> list[str]:
+        """The pieces of the path with the largest sum."""
+        _, back = self.paths(x, 0, len(x))
+        out, at = [], len(x)
+        while at:
+            out.append(x[back[at] : at])
+            at = back[at]
+        return out[::-1]
+
     def word(self, x: str) -> bytes:
-        """Ids of the best path through `x`, as 32-bit integers."""
+        """Ids of the pieces of `x`, as 32-bit integers."""
         hit = self._known.get(x)
         if hit is None:
-            _, back = self.paths(x, 0, len(x))
-            ids, at = [], len(x)
-            while at:
-                piece = x[back[at] : at]
-                if piece in self.table:
-                    ids.append(self.table[piece][0])
+            found, ids = (self.merges, []) if self.bpe else (self.table, [])
+            for piece in self.merged(x) if self.bpe else self._searched(x):
+                if piece in found:
+                    ids.append(found[piece][0])
                 else:
-                    ids += [self.bytes[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
-                at = back[at]
-            hit = np.array(ids[::-1], "<i4").tobytes()
+                    ids += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
+            hit = np.array(ids, "<i4").tobytes()
             if len(x) <= 40 and len(self._known) < _KEPT:  # common words come early
                 self._known[x] = hit
         return hit
@@ -122,6 +195,17 @@ class Vocabulary:
     def words(self, x: str) -> list[str]:
         return _WORD.findall(x) if self.parted else [x] if x else []
 
+    def ends(self, x: str) -> tuple[str, str, str]:
+        """`x` up to its first border between words, what lies between borders, and what follows the last one."""
+        if not self.parted:
+            return x, "", ""
+        first = _BORDER.search(x)
+        if first is None:
+            return x, "", ""
+        last = x.rstrip(" ").rfind(" ") + 1 if x[-1] != " " else len(x)
+        last = len(x[:last].rstrip(" "))
+        return x[: first.start() + 1], x[first.start() + 1 : last], x[last:]
+
     def encode(self, x: str) -> tuple[np.ndarray, float]:
         """Ids and score of a prepared text, from border to border."""
         known = self._known.get
@@ -184,6 +268,74 @@ def _prepared(text: str) -> str:
     return " " + text if text else ""
 
 
+def _merged_chunks(cut: DataFrame, sent: Broadcast, chunk: int) -> DataFrame:
+    """(_key, k, ids, score) for the parts of giant texts, from words that are merged whole."""
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = []
+            for key, k, x in zip(batch["_key"], batch["k"], batch["x"]):
+                head, middle, tail = sent.value.ends(x[:chunk])
+                whole = not middle and not tail
+                ids, score = sent.value.encode(middle)
+                made.append((key, k, head, None if whole else tail, ids, score))
+            yield pd.DataFrame(made, columns=["_key", "k", "head", "tail", "ids", "score"])
+
+    # a chunk without a border has no tail: its text belongs to the word that began before it
+    made = cut.mapInPandas(parts, f"_key string, k int, head string, tail string, {_SHAPE}")
+
+    def across(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("k")
+        out, open_at, held = [], -1, []
+        for k, head, tail in zip(group["k"], group["head"], group["tail"]):
+            held.append(head)
+            if tail is not None:
+                out.append((open_at, "".join(held)))
+                open_at, held = k, [tail]
+        out.append((open_at, "".join(held)))
+        return pd.DataFrame({"_key": group["_key"].iloc[0], "k": [k for k, _ in out], "x": [x for _, x in out]})
+
+    # of a text, only what lies between the last border of a chunk and the next border comes together here
+    joints = made.select("_key", "k", "head", "tail").groupBy("_key").applyInPandas(across, "_key string, k int, x string")
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [sent.value.encode(x) for x in batch["x"]]
+            yield pd.DataFrame({"_key": batch["_key"], "k": batch["k"], "ids": [a for a, _ in found], "score": [b for _, b in found]})
+
+    shape = f"_key string, k int, {_SHAPE}"
+    between = joints.repartition("_key", "k").mapInPandas(joined, shape).withColumn("k", F.col("k") * 2 + 1)
+    return made.select("_key", (F.col("k") * 2).alias("k"), "ids", "score").union(between)
+
+
+def _searched_chunks(cut: DataFrame, sent: Broadcast, chunk: int) -> DataFrame:
+    """(_key, k, ids, score) for the chunks of giant texts, by the max-plus scan."""
+    wide = sent.value.width
+
+    def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [sent.value.transfer(x, min(chunk, len(x))).tobytes() for x in batch["x"]]
+            yield pd.DataFrame({"_key": batch["_key"], "k": batch["k"], "m": made})
+
+    def states(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("k")
+        found = border_states([np.frombuffer(m, np.int64).reshape(wide, wide) for m in group["m"]])
+        return pd.DataFrame({"_key": group["_key"], "k": group["k"], "a": found[:-1], "b": found[1:]})
+
+    # a document's matrices are a few KB per chunk; its text stays in chunks
+    borders = (
+        cut.mapInPandas(matrices, "_key string, k int, m binary").groupBy("_key").applyInPandas(states, "_key string, k int, a int, b int")
+    )
+
+    def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = zip(batch["x"], batch["a"], batch["b"])
+            made = [sent.value.encode(x[a : min(chunk, len(x)) + b]) for x, a, b in rows]
+            yield pd.DataFrame({"_key": batch["_key"], "k": batch["k"], "ids": [a for a, _ in made], "score": [b for _, b in made]})
+
+    return cut.join(borders, ["_key", "k"]).select("_key", "k", "x", "a", "b").mapInPandas(trace, f"_key string, k int, {_SHAPE}")
+
+
 def encode(
     docs: DataFrame,
     text_col: str = "text",
@@ -218,28 +370,7 @@ def encode(
         .repartition("_key", "k")
     )
 
-    def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [sent.value.transfer(x, min(chunk, len(x))).tobytes() for x in batch["x"]]
-            yield pd.DataFrame({"_key": batch["_key"], "k": batch["k"], "m": made})
-
-    def states(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("k")
-        found = border_states([np.frombuffer(m, np.int64).reshape(wide, wide) for m in group["m"]])
-        return pd.DataFrame({"_key": group["_key"], "k": group["k"], "a": found[:-1], "b": found[1:]})
-
-    # a document's matrices are a few KB per chunk; its text stays in chunks
-    borders = (
-        cut.mapInPandas(matrices, "_key string, k int, m binary").groupBy("_key").applyInPandas(states, "_key string, k int, a int, b int")
-    )
-
-    def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = zip(batch["x"], batch["a"], batch["b"])
-            made = [sent.value.encode(x[a : min(chunk, len(x)) + b]) for x, a, b in rows]
-            yield pd.DataFrame({"_key": batch["_key"], "k": batch["k"], "ids": [a for a, _ in made], "score": [b for _, b in made]})
-
-    traced = cut.join(borders, ["_key", "k"]).select("_key", "k", "x", "a", "b").mapInPandas(trace, f"_key string, k int, {_SHAPE}")
+    traced = (_merged_chunks if vocabulary.bpe else _searched_chunks)(cut, sent, chunk)
     parts = F.array_sort(F.collect_list(F.struct("k", "ids", "score")))
     joined = traced.groupBy("_key").agg(parts.alias("p")).select(
         "_key",

@@ -82,6 +82,25 @@ def test_pieces_edges(spark, docs):
     assert pieces.encode(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("giant, chunk", [(pieces.GIANT, pieces.CHUNK), (200, 50)])
+def test_pieces_ids_of_the_given_model(spark, docs, giant, chunk):
+    """The ids are those of the library with the model as it is; it takes a U+2581 of the text for a space."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = random.Random(2)
+    parts = ["the", "er", " ", "   ", "government", "日", "x", "ing", "zzz", "\n", "a" * 9, "😀"]
+    made = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 300))) for _ in range(60)]
+    made += ["a" * 700, " " * 700, "government " * 90, " " + "xyz" * 200 + " b", ""]
+    made += [r.text for r in docs.collect() if r.text is not None and pieces.SPACE not in r.text]
+    made += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(80).collect()]
+    table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    rows = pieces.encode(table, giant=giant, chunk=chunk).collect()
+    assert len(rows) == len(made)
+    for r in rows:
+        assert r.ids == library.encode(r.text)
+
+
 # --- op4
 
 
