@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, html, lines, ngram, pieces, pivots, sharding, simhash, suffix, toxicity
+from llm import decontaminate, html, licenses, lines, ngram, pieces, pivots, runs, sharding, simhash, suffix, toxicity
+from llm import oracle
 from llm.common import table
 
 
@@ -112,6 +113,38 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = runs.periodic_runs(docs)
+    best = runs.greatest(F.col("found.runs"))
+    lines_of = F.transform("found.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines_of, "\n"), F.when(F.size("found.runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "license.n_words",
+        "license.n_base",
+        "license.first_word",
+        "license.last_word",
+        F.array_join("license.base", ",").alias("base_labels"),
+        F.array_join("license.labels", ",").alias("labels"),
+        "license.score",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": op1_katz,
     "op2_sentencepiece": op2_sentencepiece,
@@ -123,6 +156,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_lines": op9_lines,
     "op10_html": op10_html,
+    "op11_runs": op11_runs,
+    "op12_licenses": op12_licenses,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracle.ORACLES
