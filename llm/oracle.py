@@ -122,7 +122,30 @@ LEFT JOIN labelled l ON d.r = l.r LEFT JOIN shares s ON d.r = s.r
 """
 
 
+NEGATIVES = """
+WITH rows AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM rows a JOIN rows b ON a.vec_id % 50 = 0
+), good AS (
+    SELECT * FROM scores WHERE same AND vec_id <> anchor_id
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5
+), bad AS (
+    SELECT g.anchor_id, g.vec_id AS positive_id, s.vec_id AS negative_id, g.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY g.r, g.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM good g JOIN scores s ON g.r = s.r AND NOT s.same AND 50 * g.score <= 100 * s.score AND 100 * s.score <= 95 * g.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM bad WHERE rank <= 3
+"""
+
+
 ORACLES: dict[str, str] = {
     "op11_runs": RUNS,
     "op12_licenses": _licenses(),
+    "op13_negatives": NEGATIVES,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, html, licenses, lines, ngram, pieces, pivots, runs, sharding, simhash, suffix, toxicity
+from llm import decontaminate, html, licenses, lines, negatives, ngram, pieces, pivots, runs, sharding, simhash, suffix, toxicity
 from llm import oracle
 from llm.common import table
 
@@ -145,6 +145,13 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(rows, vec_id % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz": op1_katz,
     "op2_sentencepiece": op2_sentencepiece,
@@ -158,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html": op10_html,
     "op11_runs": op11_runs,
     "op12_licenses": op12_licenses,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLES: dict[str, str] = oracle.ORACLES
