@@ -2,12 +2,12 @@
 
 1. toxicity: documents that the tagger predicts as toxic go.
 2. lines: lines that repeat an earlier one, up to one word edit, go; `n_chars` is counted anew.
-3. simhash: of documents linked by a similarity of 0.8 or more (Jaccard, 5-word shingles), the one with the smallest id
-   stays. The fingerprints of op3 find only what differs in 4 bits, so the stage has candidates of its own (`llm/similar.py`).
+3. simhash: of documents linked by SimHash fingerprints (4-word shingles, at most 4 bits apart) the one with the smallest
+   id stays; texts without words, null ones included, are a group as well.
 4. benchmark: documents that contain a window of a benchmark item go.
 5. pieces: token ids are added (`ids`, `n_tokens`, `score`).
 
-A row with a null id is kept by stage 3, which judges by id. Null texts pass all stages.
+A row with a null id is kept by stage 3, which judges by id. Null texts pass all stages but the third.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, lines, pieces, similar, toxicity
+from llm import decontaminate, lines, pieces, simhash, toxicity
 from llm.common import stored, table
 
 
@@ -30,7 +30,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = similar.near_duplicates(docs)
+    found = simhash.near_duplicates(docs, shingle=4, radius=4)
     others = found.filter("id <> component").select(F.col("id").alias("doc_id"))
     return docs.join(others, "doc_id", "left_anti").select(docs.columns)
 
