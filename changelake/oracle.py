@@ -368,4 +368,42 @@ UNION ALL SELECT 'consumer', 'last_poll_ms', CAST(max(arrival) AS STRING) FROM v
            FROM captured GROUP BY idx, shard_id"""
     ),
     "run_replay_stream": _with(_LATEST),
+    "run_notified_replay": _with(_ROUTED, f"SELECT {_REPLICA} FROM ({_newest('routed_changes')})"),
+    "retry_pending": _with(
+        """numbered AS (
+  SELECT idx, shard_id, timestamp_ms // 2592000000 AS age, seq_no,
+         (row_number() OVER (PARTITION BY idx, shard_id, timestamp_ms // 2592000000 ORDER BY seq_no) - 1) // 1000 AS batch
+  FROM captured),
+batches AS (
+  SELECT count(*) AS events, count(*) FILTER (seq_no % 41 = 5) AS refused FROM numbered GROUP BY idx, shard_id, age, batch)""",
+        """SELECT 'consumer' AS section, 'batches_processed' AS metric, CAST(count(*) AS STRING) AS value FROM batches
+UNION ALL SELECT 'consumer', 'batches_failed', CAST(count(*) FILTER (refused > 0) AS STRING) FROM batches
+UNION ALL SELECT 'consumer', 'events', CAST(sum(events) AS STRING) FROM batches
+UNION ALL SELECT 'consumer', 'failed', '0'
+UNION ALL SELECT 'consumer', 'pending', '0'""",
+    ),
+    "resolved_events": _with(
+        _COUNTED,
+        f"""SELECT concat('cdc/log/', file_key, '.ndjson') AS s3_key, {_CHANGE},
+                   CAST(row_number() OVER (PARTITION BY idx, shard_id, batch_no ORDER BY seq_no) - 1 AS INT) AS line_no
+            FROM keyed WHERE shard_id <> 1""",
+    ),
+    "stored_versions": _with(
+        """SELECT idx, shard_id, id, max(seq_no) + 1 AS version FROM captured
+           WHERE (idx, shard_id, id) IN (SELECT (idx, shard_id, id) FROM captured WHERE op_no % 300 = 7)
+           GROUP BY idx, shard_id, id"""
+    ),
+    "safe_positions": _with(
+        """seen AS (SELECT DISTINCT idx, shard_id, seq_no FROM lagging),
+placed AS (SELECT *, row_number() OVER (PARTITION BY idx, shard_id ORDER BY seq_no) - 1 AS place FROM seen)""",
+        """SELECT idx, shard_id, max(seq_no) AS last_seq_no, coalesce(max(seq_no) FILTER (seq_no = place), -1) AS safe_seq_no
+           FROM placed GROUP BY idx, shard_id""",
+    ),
+    "gaps_between": _with(
+        """seen AS (SELECT DISTINCT idx, shard_id, seq_no FROM lagging),
+below AS (
+  SELECT *, coalesce(lag(seq_no) OVER (PARTITION BY idx, shard_id ORDER BY seq_no), -1) AS last FROM seen)""",
+        """SELECT idx, shard_id, last + 1 AS gap_from, seq_no - 1 AS gap_to, seq_no - last - 1 AS missing
+           FROM below WHERE seq_no - last > 1""",
+    ),
 }

@@ -11,8 +11,8 @@ from changelake import fixtures as fx
 from changelake.functions import columns
 from changelake.operators import batching, capture, checkpoint, metrics, reconcile, replay
 from changelake.schema import APPLIED, CHANGES, DELETE, INDEX, NOTIFICATION, REPLICA
-from changelake.sources import changelog, epochs
-from changelake.sources.storage import scratch_dir
+from changelake.sources import changelog, epochs, replica
+from changelake.sources.storage import remove, scratch_dir
 from changelake.streaming import capture_stream, replay_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,21 +329,52 @@ def load_notifications(spark, sf_dir):
     return changelog.load_notifications(manifest.select(body.alias("body")))
 
 
+def _log_without_a_shard(spark, sf_dir):
+    """A written log from which the files of shard 1 were removed."""
+    log = _written(spark, sf_dir)
+    for row in fx.captured(spark, sf_dir).select("index").distinct().toLocalIterator():
+        remove(spark, f"{log}/index={row['index']}/shard_id=1")
+    return log
+
+
 @query
 def resolve_batches(spark, sf_dir):
-    """Notifications against files of which one shard was lost."""
-    counted = _counted(spark, sf_dir)
-    stored = batching.with_batch_key(counted).filter(F.col("shard_id") != 1)
-    found = changelog.resolve_batches(_manifest(spark, sf_dir), stored, base="/cdc/log")
-    status = F.when(F.col("file_events").isNull(), "MISSING").otherwise("FOUND")
+    """Notifications against written files of which one shard was lost."""
+    found = changelog.resolve_batches(_manifest(spark, sf_dir), _log_without_a_shard(spark, sf_dir), base="/cdc/log")
+    status = F.when(F.col("status") == changelog.MISSING, "MISSING").otherwise("FOUND")
     return found.select("s3_key", "event_count", "file_events", status.alias("status"))
 
 
 @query
-def save_replica(spark, sf_dir):
+def resolved_events(spark, sf_dir):
+    """The content of the files that notifications name."""
+    found = changelog.resolve_batches(_manifest(spark, sf_dir), _log_without_a_shard(spark, sf_dir), base="/cdc/log")
+    return found.select("s3_key", F.posexplode("events").alias("line_no", "e")).select("s3_key", "line_no", "e.*")
+
+
+# Small buckets, so that the test tables make the replica split and merge.
+SAVES = {"fan": 2, "bucket_rows": 200}
+
+
+def _saved(spark, sf_dir):
+    """A replica saved in four parts of the deliveries, each the newest state of its documents so far."""
     path = scratch_dir(spark, "replica")
-    epochs.save_replica(replay.latest_state(fx.deliveries(spark, sf_dir)), path, 3)
-    return epochs.load_replica(spark, path, 3)
+    rows = fx.deliveries(spark, sf_dir)
+    for part in range(4):
+        replica.save_replica(replay.latest_state(rows.filter(F.col("op_no") % 4 == part)), path, part, **SAVES)
+    return path
+
+
+@query
+def save_replica(spark, sf_dir):
+    return replica.load_replica(spark, _saved(spark, sf_dir), 3)
+
+
+@query
+def stored_versions(spark, sf_dir):
+    """Versions of some documents, looked up in the saved replica."""
+    docs = fx.captured(spark, sf_dir).filter(F.col("op_no") % 300 == 7)
+    return replica.stored_versions(spark, _saved(spark, sf_dir), 3, docs)
 
 
 # --- reconciliation ----------------------------------------------------------------------
@@ -430,6 +461,17 @@ def drain_on_stop(spark, sf_dir):
     )
 
 
+def _replayed(spark, sf_dir, root, rejected=None):
+    """Capture a log and its manifest, and replay the batches the manifest announces."""
+    out = _captured_by_stream(spark, sf_dir, root)
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    notes = reader.text(f"{out}/manifest").withColumnRenamed("value", "body")
+    replay_stream.run_replay_stream(
+        spark, f"{out}/log", f"{root}/passive", f"{root}/followed", 100, rejected, drain=True, notifications=notes
+    ).awaitTermination()
+    return f"{out}/log", f"{root}/passive"
+
+
 @query
 def run_replay_stream(spark, sf_dir):
     """Replica of a stream over files of up to 1,000 events per shard."""
@@ -439,3 +481,41 @@ def run_replay_stream(spark, sf_dir):
         spark, f"{root}/log", f"{root}/out", f"{root}/progress", drain=True
     ).awaitTermination()
     return replay_stream.read_replica(spark, f"{root}/out")
+
+
+@query
+def run_notified_replay(spark, sf_dir):
+    """Replica of a stream of notifications; files are read by the names they give."""
+    _, passive = _replayed(spark, sf_dir, scratch_dir(spark, "replay"))
+    return replay_stream.read_replica(spark, passive)
+
+
+@query
+def retry_pending(spark, sf_dir):
+    """A target that turns events down at first: in the end every batch is acknowledged and counted."""
+    log, passive = _replayed(spark, sf_dir, scratch_dir(spark, "retry"), F.col("seq_no") % 41 == 5)
+    replay_stream.retry_pending(spark, log, passive, max_files=100)
+    done = replay_stream.read_batches(spark, passive)
+    rows = [
+        metrics.consumer_metrics(done).drop("last_poll_ms"),
+        done.agg(F.sum("events").alias("events"), F.sum("failed").alias("failed")),
+        replay_stream.read_pending(spark, passive).agg(F.count(F.lit(1)).alias("pending")),
+    ]
+    return metrics.metric_rows("consumer", rows)
+
+
+@query
+def safe_positions(spark, sf_dir):
+    """Progress of a copy that is behind, kept as ranges over two parts of the deliveries."""
+    rows = fx.lagging(spark, sf_dir)
+    halves = [rows.filter(F.col("arrival") < 30000), rows.filter(F.col("arrival") >= 30000)]
+    seen = checkpoint.merge_ranges(*[checkpoint.sequence_ranges(h) for h in halves])
+    return checkpoint.safe_positions(_lagging_checkpoint(spark, sf_dir), seen).select("index", "shard_id", "last_seq_no", "safe_seq_no")
+
+
+@query
+def gaps_between(spark, sf_dir):
+    """The gaps of the running state, equal to those found in the events."""
+    rows = fx.lagging(spark, sf_dir)
+    halves = [rows.filter(F.col("arrival") < 30000), rows.filter(F.col("arrival") >= 30000)]
+    return checkpoint.gaps_between(checkpoint.merge_ranges(*[checkpoint.sequence_ranges(h) for h in halves]))

@@ -73,3 +73,13 @@ CHECKPOINTS = T.StructType(
         T.StructField("last_updated_ms", T.LongType()),
     ]
 )
+
+# Delivered sequence numbers first .. last of a shard.
+RANGES = T.StructType(
+    [
+        T.StructField("index", T.StringType()),
+        T.StructField("shard_id", T.IntegerType()),
+        T.StructField("first", T.LongType()),
+        T.StructField("last", T.LongType()),
+    ]
+)

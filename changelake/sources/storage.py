@@ -2,16 +2,71 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+
+_GLOB = re.compile(r"([\\{}\[\]*?,])")
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, system = _file_system(spark, path)
+    return system.exists(target)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and host, from the root of its file system."""
+    target, system = _file_system(spark, path)
+    return system.makeQualified(target).toString()
+
+
+def existing(spark: SparkSession, base: str, names: Sequence[str]) -> list[str]:
+    """The paths below `base` that exist, of the given names. Each is asked for by name; no folder is listed."""
+    names = [n for n in names if ":" not in n]  # which no file's name can have here
+    if not names:
+        return []
+    # Alternatives that hold a slash are looked up one by one; the leading dot folder gives each of them one.
+    wanted = ",".join("./" + _GLOB.sub(r"\\\1", n) for n in names)
+    pattern, system = _file_system(spark, f"{_GLOB.sub(r'\\\1', base)}/{{{wanted}}}")
+    return [status.getPath().toString() for status in system.globStatus(pattern) or []]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if it is not there."""
+    target, system = _file_system(spark, path)
+    system.delete(target, True)
+
+
+def epochs_in(spark: SparkSession, table: str) -> list[int]:
+    """The epochs a table has complete folders of, oldest first."""
+    target, system = _file_system(spark, table)
+    if not system.exists(target):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(target)]
+    found = sorted(int(n.removeprefix("epoch=")) for n in names if re.fullmatch(r"epoch=-?\d+", n))
+    return [e for e in found if exists(spark, f"{table}/epoch={e}/_SUCCESS")]
+
+
+_HOST = r"^[A-Za-z][\w+.-]*:(//[^/]*)?/*"
+
+
+def plain_path(path: Column) -> Column:
+    """A path without its scheme and host, by which two spellings of one file are the same."""
+    return F.regexp_replace(path, _HOST, "/")
+
+
+def plain(path: str) -> str:
+    return re.sub(_HOST, "/", path)
 
 
 def claim(spark: SparkSession, root: str, checkpoint: str) -> None:
