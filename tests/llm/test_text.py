@@ -8,13 +8,10 @@ import zlib
 
 import numpy as np
 import pytest
-import xxhash
-from llm_helpers import edge_docs, lower
+from llm_helpers import WORD, edge_docs, lower, plain_fingerprint
 
 from llm import decontaminate, lines, ngram, simhash, suffix
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
 
 @pytest.fixture(scope="module")
 def docs(spark):
@@ -115,13 +112,6 @@ def test_katz_spread_contexts(docs):
 # --- op3
 
 
-def plain_fingerprint(text, n=4):
-    words = WORD.findall(lower(text))
-    shingles = [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def test_fingerprint():
     for text in (None, "", " ", "One two", "a b c d e f a b c d", "Ü x y z Z z Z"):
         assert simhash.fingerprint(text) == plain_fingerprint(text)
