@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -47,7 +47,9 @@ SPACE = "▁"
 _LOW = -(1 << 62)
 _WORD = re.compile(" *[^ ]+| +")
 _BORDER = re.compile("[^ ](?= )")
-_KEPT = 200_000
+_KEPT = 100_000
+_SHORT = 24  # characters of words that are merged side by side
+_TOGETHER = 1 << 20  # characters whose words are looked up at once
 _SHAPE = "ids array<int>, score double"
 BPE = 2  # TrainerSpec.model_type
 
@@ -115,13 +117,16 @@ class Vocabulary:
         self.starts |= {p: s for p, (_, s) in self.table.items()}
         self.parted = not any(" " in p.lstrip(" ") for p in (self.merges if self.bpe else self.table))
         self._known: dict[str, bytes] = {}
+        self._earlier: dict[str, bytes] = {}
+        if self.bpe:
+            self._pair_up()
 
     def _whole(self, score: float, piece: str) -> int:
         """The score in `unit`s, times 64, plus a tie-breaking part below 64."""
         return (round(score * self.unit) << 6) + (xxhash.xxh64_intdigest(piece.encode()) & 63)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": {}}
+        return self.__dict__ | {"_known": {}, "_earlier": {}}
 
     def paths(self, x: str, start: int, stop: int) -> tuple[list[int], list[int]]:
         """Best sums to every end, over pieces that begin in [start, stop), and where the last piece begins."""
@@ -168,6 +173,90 @@ class Vocabulary:
             at = end[at]
         return out
 
+    def _pair_up(self) -> None:
+        """Symbols (pieces, and the characters they are made of) by number, and the pairs of them that make a piece."""
+        symbols = self._texts = sorted({*self.merges, *(c for p in self.merges for c in p)})
+        number = {x: i for i, x in enumerate(symbols)}
+        self._symbol = {ord(x): i for x, i in number.items() if len(x) == 1}
+        self._piece = np.array([self.merges.get(x, (-1,))[0] for x in symbols], np.int64)
+        pairs = {}
+        for p, (_, score) in self.merges.items():
+            for k in range(1, len(p)):
+                if p[:k] in number and p[k:] in number:
+                    pairs[number[p[:k]] * len(symbols) + number[p[k:]]] = (-score, number[p])
+        self._pairs = np.array(sorted(pairs), np.int64)
+        self._rank = np.array([pairs[k][0] for k in self._pairs.tolist()], np.float64)
+        self._made = np.array([pairs[k][1] for k in self._pairs.tolist()], np.int64)
+
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and symbol of the piece that two neighbours make; an infinite rank if they make none."""
+        key = np.where((a >= 0) & (b >= 0), a * len(self._piece) + b, -1)
+        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
+        hit = self._pairs[at] == key
+        return np.where(hit, self._rank[at], np.inf), self._made[at]
+
+    def merged_together(self, words: list[str]) -> list[bytes]:
+        """The ids of `merged` of many words of up to `_SHORT` characters: all of them make their next merge at once."""
+        if not words or not len(self._pairs):
+            return [self._ids(w) for w in words]
+        sizes = np.array([len(w) for w in words])
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds, of = np.unique(codes, return_inverse=True)
+        known = np.array([self._symbol.get(c, -2 - c) for c in kinds.tolist()], np.int64)[of]
+        ends = np.cumsum(sizes)
+        out: list[bytes] = [b""] * len(words)
+        for low, high in ((0, 6), (6, 9), (9, 12), (12, 16), (16, _SHORT)):
+            index = np.flatnonzero((sizes > low) & (sizes <= high))
+            if not len(index):
+                continue
+            place = (ends[index] - sizes[index])[:, None] + np.arange(high)
+            parts = np.where(np.arange(high) < sizes[index][:, None], known[np.minimum(place, len(known) - 1)], -1)
+            ranks, made = self._pair(parts[:, :-1], parts[:, 1:])
+            while len(index):
+                best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(index), np.int64)
+                going = ranks[np.arange(len(index)), best] < np.inf if ranks.shape[1] else np.zeros(len(index), bool)
+                self._finished(index[~going], parts[~going], out)
+                index, parts, ranks, made, best = index[going], parts[going], ranks[going], made[going], best[going]
+                if not len(index):
+                    break
+                row = np.arange(len(index))
+                parts[row, best] = made[row, best]
+                parts = np.where(np.arange(parts.shape[1] - 1) > best[:, None], parts[:, 1:], parts[:, :-1])
+                after = np.arange(ranks.shape[1] - 1) >= best[:, None]
+                ranks, made = np.where(after, ranks[:, 1:], ranks[:, :-1]), np.where(after, made[:, 1:], made[:, :-1])
+                for at in (best - 1, best):
+                    r = row[(at >= 0) & (at < ranks.shape[1])]
+                    c = at[r]
+                    ranks[r, c], made[r, c] = self._pair(parts[r, c], parts[r, c + 1])
+        return out
+
+    def _finished(self, index: np.ndarray, parts: np.ndarray, out: list[bytes]) -> None:
+        used = parts != -1
+        ids = np.where(parts >= 0, self._piece[np.maximum(parts, 0)], -1)
+        whole = ((ids >= 0) | ~used).all(axis=1)
+        flat = ids[whole][used[whole]].astype("<i4").tobytes()
+        ends = (np.cumsum(used[whole].sum(axis=1)) * 4).tolist()
+        for i, a, b in zip(index[whole].tolist(), [0, *ends], ends):
+            out[i] = flat[a:b]
+        for i, row, of in zip(index[~whole].tolist(), parts[~whole].tolist(), ids[~whole].tolist()):
+            spelt: list[int] = []  # with characters in bytes
+            for part, piece in zip(row, of):
+                if piece >= 0:
+                    spelt.append(piece)
+                elif part != -1:
+                    char = self._texts[part] if part >= 0 else chr(-2 - part)
+                    spelt += [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
+            out[i] = np.array(spelt, "<i4").tobytes()
+
+    def _ids(self, x: str) -> bytes:
+        found, ids = (self.merges, []) if self.bpe else (self.table, [])
+        for piece in self.merged(x) if self.bpe else self._searched(x):
+            if piece in found:
+                ids.append(found[piece][0])
+            else:
+                ids += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
+        return np.array(ids, "<i4").tobytes()
+
     def _searched(self, x: str) -> list[str]:
         """The pieces of the path with the largest sum."""
         _, back = self.paths(x, 0, len(x))
@@ -179,19 +268,18 @@ class Vocabulary:
 
     def word(self, x: str) -> bytes:
         """Ids of the pieces of `x`, as 32-bit integers."""
-        hit = self._known.get(x)
+        hit = self._known.get(x) or self._earlier.get(x)
         if hit is None:
-            found, ids = (self.merges, []) if self.bpe else (self.table, [])
-            for piece in self.merged(x) if self.bpe else self._searched(x):
-                if piece in found:
-                    ids.append(found[piece][0])
-                else:
-                    ids += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
-            hit = np.array(ids, "<i4").tobytes()
-            if len(x) <= 40 and len(self._known) < _KEPT:  # common words come early
-                self._known[x] = hit
+            hit = self._ids(x)
+        self._keep(x, hit)
         return hit
 
+    def _keep(self, x: str, hit: bytes) -> None:
+        if len(x) <= 40:
+            if len(self._known) >= _KEPT:  # words that are not met again go with the older half
+                self._known, self._earlier = {}, self._known
+            self._known[x] = hit
+
     def words(self, x: str) -> list[str]:
         return _WORD.findall(x) if self.parted else [x] if x else []
 
@@ -208,10 +296,33 @@ class Vocabulary:
 
     def encode(self, x: str) -> tuple[np.ndarray, float]:
         """Ids and score of a prepared text, from border to border."""
-        known = self._known.get
+        known = self._known.get  # of a half that may have become the older one meanwhile
         ids = np.frombuffer(b"".join([known(w) or self.word(w) for w in self.words(x)]), "<i4")
         return ids, float(self.scores[ids].sum())
 
+    def encode_all(self, texts: Sequence[str]) -> list[tuple[np.ndarray, float]]:
+        """`encode` of each of several texts; words that are new are merged together."""
+        if not self.bpe:
+            return [self.encode(x) for x in texts]
+        out, held, size = [], [], 0
+        for n, x in enumerate(texts):
+            held.append(x)
+            size += len(x)
+            if size >= _TOGETHER or n == len(texts) - 1:
+                lists = [self.words(x) for x in held]
+                found = {w: self._known.get(w) or self._earlier.get(w) for w in set().union(*lists)}
+                fresh = [w for w, hit in found.items() if hit is None]
+                short = [w for w in fresh if len(w) <= _SHORT]
+                found |= zip(short, self.merged_together(short))
+                found |= {w: self._ids(w) for w in fresh if len(w) > _SHORT}
+                for w, hit in found.items():
+                    self._keep(w, hit)
+                for words in lists:
+                    ids = np.frombuffer(b"".join([found[w] for w in words]), "<i4")
+                    out.append((ids, float(self.scores[ids].sum())))
+                held, size = [], 0
+        return out
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.decoded.__getitem__, ids))[1:].decode("utf-8", "replace")
 
@@ -350,8 +461,11 @@ def encode(
 
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            made = [(None, None) if t is None else sent.value.encode(_prepared(t)) for t in texts]
-            yield pd.DataFrame({"ids": [a for a, _ in made], "score": [b for _, b in made]})
+            made = sent.value.encode_all([_prepared(t or "") for t in texts])
+            gone = [t is None for t in texts]
+            yield pd.DataFrame(
+                {"ids": [None if g else a for g, (a, _) in zip(gone, made)], "score": [None if g else b for g, (_, b) in zip(gone, made)]}
+            )
 
     docs = docs.select([c for c in docs.columns if c not in ("ids", "score")])
     large = F.char_length(text_col) > giant
