@@ -73,19 +73,25 @@ def pack_batches(
     """Add `age_window` and `batch_no`: a batch closes with the event that reaches a limit.
 
     Where a batch ends depends on where it began, so this is a sequential fold. Each
-    (shard, window) group, or each segment of a large one, is folded on its own. A segment
-    needs to know how full the batch is that reaches into it: segments of large groups are
-    first summarised for every possible position of their first cut, and the summaries,
-    one row per segment, are walked in order.
+    (shard, window) group, or each segment of a large one, is folded on its own, on a skeleton of sizes in order: where
+    the batch after each row would begin is one look-up per row, and pointer doubling follows those from the first batch on. A
+    segment needs to know how full the batch is that reaches into it: segments of large groups are first summarised for every
+    possible position of their first cut, and the summaries, one row per segment, are walked in order.
+
+    What comes of the fold is a row per batch, its first place in the piece. The events, which never leave the JVM, are
+    numbered in the same order and take the number of the last batch that begins at or before their place.
     """
     sized = batch_by_age(changes, age_ms).withColumn("_size", event_size())
     rows = cut_hot_groups(sized, PACK_KEY, "seq_no", rows_per_segment, unique_lead=True)
     piece = [*PACK_KEY, SEGMENT]
+    # Events that agree in all of this are interchangeable, so both sides number them alike.
+    order = [*PACK_ORDER, "_size"]
+    skeleton = rows.select(*piece, *order)
 
-    narrow = rows.filter(F.col(SEGMENT).isNotNull()).select(*piece, *PACK_ORDER[:3], "id", "_size")
     summaries = (
-        narrow.repartition(*piece)
-        .sortWithinPartitions(*piece, *PACK_ORDER)
+        skeleton.filter(F.col(SEGMENT).isNotNull())
+        .repartition(*piece)
+        .sortWithinPartitions(*piece, *order)
         .select(*piece, "_size")
         .mapInArrow(_summarise(max_events, max_bytes), _summary_schema(rows))
     )
@@ -94,17 +100,32 @@ def pack_batches(
         .sortWithinPartitions(*piece)
         .mapInArrow(_walk(max_events, max_bytes), _entry_schema(rows))
     )
-
-    # A segment's entry row sorts ahead of its events: no join, one shuffle of the events.
-    placed = rows.withColumn("_event", F.lit(True)).unionByName(
-        entries.withColumn("_event", F.lit(False)), allowMissingColumns=True
+    # A segment's entry row sorts ahead of its events.
+    begins = (
+        skeleton.withColumn("_event", F.lit(True))
+        .unionByName(entries.withColumn("_event", F.lit(False)), allowMissingColumns=True)
+        .repartition(*piece)
+        .sortWithinPartitions(*piece, "_event", *order)
+        .select(*piece, "_event", "_size", "_count", "_bytes", "_cuts")
+        .mapInArrow(_begin(max_events, max_bytes), _begin_schema(rows))
     )
-    out = T.StructType([*placed.schema.fields, T.StructField("batch_no", T.LongType())])
+
+    place = F.row_number().over(Window.partitionBy(*piece).orderBy(*order)) - 1
+    placed = rows.withColumn("_place", place.cast("long")).withColumn("_event", F.lit(True))
+    # Both sides are partitioned by piece, and so is their union: the events are shuffled once.
+    marked = placed.unionByName(begins.repartition(*piece).withColumn("_event", F.lit(False)), allowMissingColumns=True)
+    so_far = Window.partitionBy(*piece).orderBy("_place", "_event").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.repartition(*piece)
-        .sortWithinPartitions(*piece, "_event", *PACK_ORDER)
-        .mapInArrow(_label(max_events, max_bytes), out)
-        .drop(SEGMENT, "_event", "_size", "_count", "_bytes", "_cuts")
+        marked.withColumn("batch_no", F.last("batch_no", ignorenulls=True).over(so_far))
+        .filter("_event")
+        .drop(SEGMENT, "_event", "_size", "_place")
+    )
+
+
+def _begin_schema(rows: DataFrame) -> T.StructType:
+    return T.StructType(
+        [rows.schema[c] for c in [*PACK_KEY, SEGMENT]]
+        + [T.StructField("_place", T.LongType()), T.StructField("batch_no", T.LongType())]
     )
 
 
@@ -141,6 +162,39 @@ def _key_at(batch: pa.RecordBatch, keys: list[str], row: int) -> list:
     return [batch.column(k)[row].as_py() for k in keys]
 
 
+def _next_batches(sizes: np.ndarray, max_events: int, max_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Running sizes, and for each row, the end included, one past the last row of a batch that begins there."""
+    prefix = np.concatenate([[0], np.cumsum(sizes)])
+    start = np.arange(len(sizes) + 1)
+    end = np.minimum(start + max_events, np.searchsorted(prefix, prefix + max_bytes, "left"))
+    return prefix, np.maximum(end, start + 1)
+
+
+def _first_cut(prefix: np.ndarray, count: int, size: int, max_events: int, max_bytes: int) -> int:
+    """Rows that the open batch of `count` events and `size` bytes still takes, if there are as many."""
+    if count == 0:
+        return 0
+    return max(1, min(max_events - count, int(np.searchsorted(prefix, max_bytes - size, "left"))))
+
+
+def batch_begins(sizes: np.ndarray, state: tuple, max_events: int, max_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, numbers) of the batches that rows of a segment are in, given the open batch that enters it."""
+    count, size, number = state
+    n = len(sizes)
+    prefix, end = _next_batches(sizes, max_events, max_bytes)
+    first = _first_cut(prefix, count, size, max_events, max_bytes)
+    jump = np.minimum(end, n)
+    places = np.array([min(first, n)])
+    # each round appends as many places as there are, twice as far on
+    while len(more := jump[places]) and more[0] < n:
+        places = np.concatenate([places, more[more < n]])
+        jump = jump[jump]
+    places = places[places < n]
+    if first and n:
+        places = np.concatenate([[0], places])
+    return places, number + np.arange(len(places))
+
+
 def summarise_segment(sizes: np.ndarray, max_events: int, max_bytes: int) -> dict:
     """What a segment does to the open batch, for every place `f` its first cut may fall.
 
@@ -148,11 +202,8 @@ def summarise_segment(sizes: np.ndarray, max_events: int, max_bytes: int) -> dic
     and how full the batch is that is still open at the end.
     """
     n = len(sizes)
-    prefix = np.concatenate([[0], np.cumsum(sizes)])
     start = np.arange(n + 1)
-    # One past the last row of the batch starting at each row.
-    end = np.minimum(start + max_events, np.searchsorted(prefix, prefix + max_bytes, "left"))
-    end = np.maximum(end, start + 1)
+    prefix, end = _next_batches(sizes, max_events, max_bytes)
     closed = end <= n
     after = np.where(closed, end, start)
     cuts = closed.astype(np.int64)
@@ -176,50 +227,60 @@ def summarise_segment(sizes: np.ndarray, max_events: int, max_bytes: int) -> dic
 def through_segment(state: tuple, s: dict, max_events: int, max_bytes: int) -> tuple:
     """(events, bytes, cuts so far) of the open batch after a segment, from those before it."""
     count, size, cuts = state
-    if count == 0:
-        first = 0
-    else:
-        by_bytes = int(np.searchsorted(s["_prefix"], max_bytes - size, "left"))
-        first = max(1, min(max_events - count, by_bytes))
+    first = _first_cut(s["_prefix"], count, size, max_events, max_bytes)
+    if count:
         if first > s["_length"]:
             return count + s["_length"], size + s["_total"], cuts
         cuts += 1
     return s["_open_count"][first], s["_open_bytes"][first], cuts + s["_cuts_after"][first]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[pa.Schema, list, list[pa.Array]]]:
+    """Each piece of sorted batches: its key's schema, its key, and its columns, joined where a batch ends inside it."""
+    piece = [*PACK_KEY, SEGMENT]
+    key, held, schema = None, [], None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        schema = pa.schema([batch.schema.field(c) for c in piece])
+        starts = _starts(batch, piece, key)
+        at = (np.flatnonzero(starts[1:]) + 1).tolist()
+        for begin, stop in zip([0, *at], [*at, batch.num_rows]):
+            if starts[begin]:
+                if held:
+                    yield schema, key, [pa.concat_arrays(c) for c in zip(*held)]
+                key, held = _key_at(batch, piece, begin), []
+            held.append([batch.column(c).slice(begin, stop - begin) for c in columns])
+    if held:
+        yield schema, key, [pa.concat_arrays(c) for c in zip(*held)]
+
+
 def _summarise(max_events: int, max_bytes: int):
     piece = [*PACK_KEY, SEGMENT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, schema = None, [], None
+        longs = pa.list_(pa.int64())
+        names = ("_prefix", "_open_count", "_open_bytes", "_cuts_after")
+        more = [("_length", pa.int64()), ("_total", pa.int64()), *[(n, longs) for n in names]]
+        for schema, key, (sizes,) in _pieces(batches, ["_size"]):
+            row = dict(zip(piece, key)) | summarise_segment(sizes.to_numpy(), max_events, max_bytes)
+            yield pa.RecordBatch.from_pylist([row], schema=pa.schema([*schema, *[pa.field(*m) for m in more]]))
 
-        def finished():
-            row = dict(zip(piece, key)) | summarise_segment(
-                np.concatenate(held), max_events, max_bytes
-            )
-            return pa.RecordBatch.from_pylist([row], schema=schema)
+    return run
 
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if schema is None:
-                longs = pa.list_(pa.int64())
-                schema = pa.schema(
-                    [batch.schema.field(c) for c in piece]
-                    + [("_length", pa.int64()), ("_total", pa.int64())]
-                    + [(n, longs) for n in ("_prefix", "_open_count", "_open_bytes", "_cuts_after")]
-                )
-            sizes = batch.column("_size").to_numpy()
-            starts = _starts(batch, piece, key)
-            at = np.flatnonzero(starts[1:]) + 1
-            for begin, stop in zip([0, *at.tolist()], [*at.tolist(), len(sizes)]):
-                if starts[begin]:
-                    if held:
-                        yield finished()
-                    key, held = _key_at(batch, piece, begin), []
-                held.append(sizes[begin:stop])
-        if held:
-            yield finished()
+
+def _begin(max_events: int, max_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for schema, key, columns in _pieces(batches, ["_event", "_size", "_count", "_bytes", "_cuts"]):
+            events = columns[0].to_numpy(zero_copy_only=False).astype(bool)
+            entry = int(not events[0]) if len(events) else 0
+            state = tuple(c[0].as_py() for c in columns[2:]) if entry else (0, 0, 0)
+            sizes = columns[1].slice(entry).to_numpy()
+            places, numbers = batch_begins(sizes, state, max_events, max_bytes)
+            same = [pa.array([k] * len(places), f.type) for k, f in zip(key, schema)]
+            yield pa.RecordBatch.from_arrays(
+                [*same, pa.array(places, pa.int64()), pa.array(numbers, pa.int64())], names=[*schema.names, "_place", "batch_no"]
+            )
 
     return run
 
@@ -250,42 +311,6 @@ def _walk(max_events: int, max_bytes: int):
     return run
 
 
-def _label(max_events: int, max_bytes: int):
-    piece = [*PACK_KEY, SEGMENT]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = None
-        count = size = number = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            starts = set(np.flatnonzero(_starts(batch, piece, key)).tolist())
-            key = _key_at(batch, piece, batch.num_rows - 1)
-            events = batch.column("_event").to_numpy(zero_copy_only=False)
-            entries = np.flatnonzero(~events).tolist()
-            entry = {
-                i: tuple(batch.column(c)[i].as_py() for c in ("_count", "_bytes", "_cuts"))
-                for i in entries
-            }
-            numbers = []
-            for i, s in enumerate(batch.column("_size").to_pylist()):
-                if i in starts:
-                    count, size, number = 0, 0, 0
-                if i in entry:
-                    count, size, number = entry[i]
-                    numbers.append(number)
-                    continue
-                if count >= max_events or size >= max_bytes:
-                    count, size, number = 0, 0, number + 1
-                count += 1
-                size += s
-                numbers.append(number)
-            labelled = batch.append_column("batch_no", pa.array(numbers, pa.int64()))
-            yield labelled.filter(batch.column("_event")) if entries else labelled
-
-    return run
-
-
 # --- describing batches -----------------------------------------------------------------
 
 BATCH = [*SHARD_KEY, "batch_no"]

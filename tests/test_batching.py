@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from changelake.functions.columns import change_line
 from changelake.operators import batching
 from changelake.plans.ordered import number_rows
+from changelake.sources.storage import scratch_dir
 from helpers import change, changes, delivery, deliveries, tuples
 
 
@@ -45,6 +46,24 @@ def test_walking_segments_equals_one_fold(sizes, max_events, max_bytes, width):
     assert got == pack_by_hand(sizes, max_events, max_bytes)
 
 
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.integers(100, 900), min_size=1, max_size=60),
+    st.integers(1, 8),
+    st.integers(100, 3000),
+    st.integers(1, 20),
+)
+def test_batch_begins_equal_one_fold(sizes, max_events, max_bytes, width):
+    """Places found by pointer doubling, segment by segment, give the sequential fold."""
+    state, got = (0, 0, 0), []
+    for at in range(0, len(sizes), width):
+        part = np.array(sizes[at : at + width])
+        places, numbers = batching.batch_begins(part, state, max_events, max_bytes)
+        got += numbers[np.searchsorted(places, np.arange(len(part)), "right") - 1].tolist()
+        state = batching.through_segment(state, batching.summarise_segment(part, max_events, max_bytes), max_events, max_bytes)
+    assert got == pack_by_hand(sizes, max_events, max_bytes)
+
+
 def _log(n, seed=3):
     rng = random.Random(seed)
     rows, seqs = [], {}
@@ -76,6 +95,38 @@ def test_pack_batches(spark, rows_per_segment, age_ms):
     assert got == want
 
 
+def test_pack_large_batches(spark):
+    """Batches of 100,000 events over cut groups, with events that agree in all but the body."""
+    rows = spark.range(260_000).select(
+        F.lit("logs").alias("index"),
+        F.concat(F.lit("d"), (F.col("id") % 7).cast("string")).alias("id"),
+        F.concat(F.lit('{"v":'), (F.col("id") % 10).cast("string"), F.lit("}")).alias("source"),
+        F.expr("id div 2").alias("seq_no"),
+        F.lit(1).cast("long").alias("primary_term"),
+        F.lit("INDEX").alias("op_type"),
+        F.lit(None).cast("string").alias("routing"),
+        F.lit(0).alias("shard_id"),
+        F.lit(0).cast("long").alias("timestamp_ms"),
+    )
+    for width in (1_000_000, 30_000):
+        got = batching.pack_batches(rows, 100_000, 1000, 1 << 40, rows_per_segment=width)
+        sizes = got.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"), F.min("seq_no").alias("a")).orderBy("batch_no")
+        assert [tuple(r) for r in sizes.collect()] == [(0, 100_000, 0), (1, 100_000, 50_000), (2, 60_000, 100_000)]
+
+
+def test_pack_keeps_bodies_out_of_python(spark):
+    """Only the skeleton goes through Python, and the events are shuffled once."""
+    stored = f"{scratch_dir(spark, 'pack')}/changes"
+    changes(spark, _log(40)).write.parquet(stored)
+    got = batching.pack_batches(spark.read.parquet(stored))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    nodes = [line for line in plan.split("\n") if "MapInArrow" in line]
+    assert nodes and not any("source" in line for line in nodes)
+    lines = plan.split("\n")
+    bodies = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line and "source#" in "".join(lines[i + 1 : i + 2])]
+    assert len(bodies) == 1
+
+
 def test_pack_keeps_every_column(spark):
     rows = changes(spark, _log(40))
     got = batching.pack_batches(rows)
