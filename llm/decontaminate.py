@@ -6,12 +6,12 @@ automaton holds the windows with a space at either end, so a match starts and en
 and each document is scanned once. Word positions are mapped back to the original text.
 
 The windows are broadcast in parts of at most `PART_BYTES`; a benchmark that needs more parts is
-searched part by part and the hits are united, so no size is out of reach and no part too large.
+searched part by part, with what goes from one to the next written in between, and the hits are united, so no size is
+out of reach and no part too large.
 
 Cases: null and empty texts have no words, no hits and the digest of the empty string. Null and
 empty items have no window. Equal items count as often as they have ids; repeated rows of one item
-count once. Repeated document rows give a row each, provided their ids differ; rows that share an id
-are taken as one document, hit where any of them is. An empty benchmark hits nothing.
+count once. Every document row gives a row of its own, also rows that share an id or have none. An empty benchmark hits nothing.
 """
 
 from __future__ import annotations
@@ -122,27 +122,27 @@ def scanner(spark: SparkSession, windows: list[bytes]) -> Callable[[Column], Col
     )
 
 
-def scan(docs: DataFrame, windows: list[bytes], id_col: str, text_col: str) -> DataFrame:
-    """(id, n_words, windows, spans) per row."""
-    found = scanner(docs.sparkSession, windows)(F.col(text_col))
-    return docs.select(F.col(id_col).cast("long").alias("id"), found.alias("_s")).select("id", "_s.*")
-
-
 def without_leaks(
     docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str = "text", part_bytes: int = PART_BYTES
 ) -> DataFrame:
     """`docs` without the rows that contain a window; texts are filtered where they are read."""
-    for windows in _parts(item_windows(bench, window, "item_id", "text"), part_bytes):
-        found = scanner(docs.sparkSession, windows)(F.col(text_col))
-        docs = docs.withColumn("_found", found).filter(F.size("_found.windows") == 0).drop("_found")
+    pairs = item_windows(bench, window, "item_id", "text")
+    n = _part_count(pairs, part_bytes)
+    for i, windows in enumerate(_parts(pairs, n)):
+        docs = docs.filter(F.size(scanner(docs.sparkSession, windows)(F.col(text_col))["windows"]) == 0)
+        if i < n - 1:  # one automaton at a time
+            docs = stored(docs, "clean")
     return docs
 
 
-def _parts(pairs: DataFrame, part_bytes: int) -> Iterator[list[bytes]]:
-    """The distinct windows in lists of about `part_bytes`, dealt by hash."""
+def _part_count(pairs: DataFrame, part_bytes: int) -> int:
+    total = pairs.select("window").distinct().agg(F.sum(F.length("window") + 8)).first()[0] or 0
+    return max(1, -(-2 * total // part_bytes)) if total > part_bytes else 1
+
+
+def _parts(pairs: DataFrame, n: int) -> Iterator[list[bytes]]:
+    """The distinct windows in n lists, dealt by hash."""
     distinct = pairs.select("window").distinct()
-    total = distinct.agg(F.sum(F.length("window") + 8)).first()[0] or 0
-    n = max(1, -(-2 * total // part_bytes)) if total > part_bytes else 1
     for i in range(n):
         mine = distinct.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == i)
         yield sorted(bytes(r.window) for r in mine.toLocalIterator())
@@ -158,17 +158,24 @@ def decontaminate(
     item_text_col: str = "text",
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """(id, n_words, n_hit, items, spans) per document; spans are (start, end) in characters of the original."""
+    """(id, n_words, n_hit, items, spans) per row; spans are (start, end) in characters of the original."""
     pairs = item_windows(bench, window, item_col, item_text_col)
+    n = _part_count(pairs, part_bytes)
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
+    )
+    if n > 1:  # a row has to have the same key in every scan
+        rows = stored(rows, "documents")
     scans = None
-    for windows in _parts(pairs, part_bytes):
-        found = scan(docs, windows, id_col, text_col)
-        scans = found if scans is None else scans.union(found)
+    for windows in _parts(pairs, n):
+        found = scanner(docs.sparkSession, windows)(F.col("text"))
+        part = rows.select("key", "id", found.alias("_s")).select("key", "id", "_s.*")
+        scans = part if scans is None else scans.union(part)
     scans = stored(scans, "scan")  # texts are scanned once; the hits are read twice
     # the runs of several parts may overlap: in order, each adds what lies beyond the furthest end so far
     ordered = F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans"))))
-    per_doc = scans.groupBy("id").agg(
-        F.max("n_words").alias("n_words"), ordered.alias("spans"), F.flatten(F.collect_list("windows")).alias("windows")
+    per_doc = scans.groupBy("key").agg(
+        F.first("id").alias("id"), F.max("n_words").alias("n_words"), ordered.alias("spans"), F.flatten(F.collect_list("windows")).alias("windows")
     )
     beyond = F.aggregate(
         "spans",
@@ -181,13 +188,13 @@ def decontaminate(
     )
     items = (
         per_doc.filter(F.size("windows") > 0)
-        .select("id", F.explode("windows").alias("window"))
+        .select("key", F.explode("windows").alias("window"))
         .join(pairs, "window")
-        .groupBy("id")
+        .groupBy("key")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     hit = per_doc.withColumn("n_hit", beyond).drop("windows")
-    return hit.join(items, "id", "left").select(
+    return hit.join(items, "key", "left").select(
         "id",
         "n_words",
         "n_hit",

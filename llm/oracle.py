@@ -144,7 +144,89 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 """
 
 
+NEAR_VECTORS = """
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+    SELECT * FROM rows
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+        AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.r AS a, b.r AS b, b.vec_id FROM usable a JOIN usable b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+    SELECT r AS a, r AS b FROM rows UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), components AS (
+    SELECT reach.a, min(rows.vec_id) AS component_id FROM reach JOIN rows ON reach.b = rows.r GROUP BY reach.a
+), counts AS (
+    SELECT a, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM rows JOIN components ON rows.r = components.a LEFT JOIN counts ON rows.r = counts.a
+"""
+
+
+LEAKS = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents
+), items AS (
+    SELECT DISTINCT item_id::VARCHAR AS item, ws FROM (SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM benchmark)
+    WHERE len(ws) > 0
+), windows AS (
+    SELECT DISTINCT item, size, array_to_string(ws[i + 1 : i + size], ' ') AS win
+    FROM (SELECT item, ws, least(10, len(ws)) AS size, unnest(range(greatest(1, len(ws) - 9))) AS i FROM items)
+), sizes AS (
+    SELECT DISTINCT size FROM windows
+), grams AS (
+    SELECT r, i, size, array_to_string(ws[i + 1 : i + size], ' ') AS win
+    FROM (SELECT r, ws, size, unnest(range(len(ws) - size + 1)) AS i FROM docs JOIN sizes ON len(ws) >= size)
+), hits AS (
+    SELECT r, i, g.size, item FROM grams g JOIN windows w ON g.size = w.size AND g.win = w.win
+), hit_words AS (
+    SELECT r, count(DISTINCT i) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS i FROM hits) GROUP BY r
+), hit_items AS (
+    SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listing FROM hits GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listing, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+
+# Bytes as two hexadecimal digits each, since SQL counts characters.
+REPEATS = """
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h FROM documents
+), pieces AS (
+    SELECT r, doc_id, base, substr(h, 2 * base + 1, 1198) AS h FROM (
+        SELECT *, unnest(range(0, length(h) // 2 - 99, 500)) AS base FROM docs WHERE length(h) >= 200)
+), starts AS (
+    SELECT r, doc_id, base + j AS i, md5_number(substr(h, 2 * j + 1, 200)) AS s, doc_id::HUGEINT * 4294967296 + base + j AS place FROM (
+        SELECT *, unnest(range(least(500, length(h) // 2 - 99))) AS j FROM pieces)
+), firsts AS (
+    SELECT s, min(place) AS earliest FROM starts GROUP BY s HAVING count(*) > 1
+), covered AS (
+    SELECT DISTINCT r, unnest(range(i, i + 100)) AS i FROM starts JOIN firsts USING (s) WHERE place > earliest
+), runs AS (
+    SELECT r, count(*) AS n, min(i) AS a, max(i) AS b
+    FROM (SELECT r, i, i - row_number() OVER (PARTITION BY r ORDER BY i) AS island FROM covered) GROUP BY r, island
+), removed AS (
+    SELECT r, sum(n)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY r
+), kept AS (
+    SELECT r, string_agg(piece, '' ORDER BY a) AS h FROM (
+        SELECT d.r, b.a, substr(d.h, 2 * b.b + 3, 2 * (coalesce(lead(b.a) OVER (PARTITION BY d.r ORDER BY b.a), length(d.h) // 2) - b.b - 1)) AS piece
+        FROM docs d JOIN (SELECT r, a, b FROM runs UNION ALL SELECT r, -1, -1 FROM removed) b ON d.r = b.r) GROUP BY r
+)
+SELECT doc_id, (length(docs.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept.h, docs.h))) AS kept_sha256
+FROM docs LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op5_pivots": NEAR_VECTORS,
+    "op6_decontaminate": LEAKS,
+    "op7_suffix": REPEATS,
     "op11_runs": RUNS,
     "op12_licenses": _licenses(),
     "op13_negatives": NEGATIVES,

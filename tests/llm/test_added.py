@@ -12,7 +12,7 @@ import pytest
 from llm_helpers import WORD, edge_docs
 from pyspark.sql import functions as F
 
-from llm import licenses, negatives, oracle, queries, runs
+from llm import decontaminate, licenses, negatives, oracle, queries, runs
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,6 +35,24 @@ def test_query_like_sql(spark, name):
     assert sorted(map(tuple, found.select(columns).collect()), key=key) == sorted(want.fetchall(), key=key)
 
 
+def test_rows_that_share_an_id(spark):
+    """Contamination is judged row by row, also in several scans and where ids are equal or null."""
+    leak = " ".join(f"q{i}" for i in range(12))
+    rows = [(1, "clean words only"), (1, f"a b {leak} c"), (None, leak), (None, None), (2, ""), (2, leak)]
+    table = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], "doc_id long, text string, _found string, key int")
+    bench = spark.createDataFrame([("b1", leak), ("b2", "q3 q4"), ("b3", None)], "item_id string, text string")
+    for part_bytes in (decontaminate.PART_BYTES, 40):
+        got = decontaminate.decontaminate(table, bench, part_bytes=part_bytes).collect()
+        key = lambda r: (r[0] or 0, *r[1:])
+        found = sorted(((r.id, r.n_words, r.n_hit, tuple(r["items"])) for r in got), key=key)
+        both = ("b1", "b2")
+        want = [(None, 0, 0, ()), (None, 12, 12, both), (1, 3, 0, ()), (1, 15, 12, both), (2, 0, 0, ()), (2, 12, 12, both)]
+        assert found == sorted(want, key=key)
+        clean = decontaminate.without_leaks(table, bench, part_bytes=part_bytes)
+        assert clean.columns == table.columns
+        assert sorted((r.doc_id or 0, r.text or "") for r in clean.collect()) == [(0, ""), (1, "clean words only"), (2, "")]
+
+
 # --- op11
 
 
