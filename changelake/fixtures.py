@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.plans.ordered import number_rows
@@ -67,25 +67,34 @@ def captured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_log(spark, sf_dir).filter(~F.col("index").startswith("."))
 
 
-# Fixed values of the delivery order: a prime modulus makes `arrival` a permutation.
-_STEP, _CYCLE = 7919, 100003
+# Fixed values of the delivery order: an odd multiplier makes `arrival` a permutation of up to `SPAN` operation numbers.
+STEP, SPAN = 2654435761, 1 << 32
+BATCH_EVENTS = 50
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consumer input: shuffled, a tenth of the events delivered twice."""
+    """Consumer input: shuffled, a tenth of the events delivered twice, in batches of about `BATCH_EVENTS` operations."""
     times = "CASE WHEN op_no % 10 = 3 THEN array(0, 1) ELSE array(0) END"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    width = events.agg(F.expr(f"greatest(1L, {SPAN * BATCH_EVENTS}L div count(1))")).scalar()
     return (
         captured(spark, sf_dir)
         .selectExpr("*", f"explode({times}) AS again")
-        .selectExpr("*", f"(op_no * {_STEP}) % {_CYCLE} + again * {_CYCLE}L AS arrival")
-        .selectExpr("*", "concat('b', CAST(arrival div 50 AS STRING)) AS batch_key", "op_no AS line_no")
+        .selectExpr("*", f"(op_no * {STEP}L) % {SPAN}L + again * {SPAN}L AS arrival")
+        .withColumn("batch_key", F.concat(F.lit("b"), F.call_function("div", F.col("arrival"), width).cast("string")))
+        .withColumn("line_no", F.col("op_no"))
         .drop("again")
     )
 
 
+def before(share: float) -> Column:
+    """The deliveries that arrive in the first `share` of the time; repeats come after all of it."""
+    return F.col("arrival") < int(SPAN * share)
+
+
 def lagging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the deliveries a passive copy that is behind has seen."""
-    return deliveries(spark, sf_dir).filter(F.col("arrival") < 60000)
+    return deliveries(spark, sf_dir).filter(before(0.6))
 
 
 def snapshot_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

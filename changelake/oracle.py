@@ -35,12 +35,13 @@ change_log AS (
   FROM raw_ops WHERE result_type = 'SUCCESS'),
 captured AS (SELECT * FROM change_log WHERE idx NOT LIKE '.%'),
 arrived AS (
-  SELECT *, (op_no * 7919) % 100003 AS arrival FROM captured
+  SELECT *, (op_no * 2654435761) % 4294967296 AS arrival FROM captured
   UNION ALL
-  SELECT *, 100003 + (op_no * 7919) % 100003 AS arrival FROM captured WHERE op_no % 10 = 3),
+  SELECT *, 4294967296 + (op_no * 2654435761) % 4294967296 AS arrival FROM captured WHERE op_no % 10 = 3),
+batch_width AS (SELECT greatest(1, 4294967296 * 50 // count(*)) AS width FROM events),
 deliveries AS (
-  SELECT *, concat('b', CAST(arrival // 50 AS STRING)) AS batch_key FROM arrived),
-lagging AS (SELECT * FROM deliveries WHERE arrival < 60000),
+  SELECT arrived.*, concat('b', CAST(arrival // (SELECT width FROM batch_width) AS STRING)) AS batch_key FROM arrived),
+lagging AS (SELECT * FROM deliveries WHERE arrival < 2576980377),
 snapshot_docs AS (
   SELECT DISTINCT idx, shard_id, id, '{"seed":true}' AS source FROM captured WHERE op_no % 4 = 0)"""
 
@@ -264,7 +265,7 @@ packed AS (
     "consumer_metrics": _with(
         _FAIL,
         """numbered AS (
-  SELECT arrival // 50 AS number, count(*) FILTER (verdict = 'FAILED') AS failed, max(arrival) AS polled
+  SELECT arrival // (SELECT width FROM batch_width) AS number, count(*) FILTER (verdict = 'FAILED') AS failed, max(arrival) AS polled
   FROM verdicts GROUP BY 1)""",
         """SELECT count(*) FILTER (number >= 40 AND failed = 0) AS batches_processed,
                   count(*) FILTER (number < 20 OR (number >= 40 AND failed > 0)) AS batches_failed,
@@ -305,6 +306,7 @@ packed AS (
     ),
     "save_replica": _with(_LATEST),
     "reconcile_docs": _with(_COPIES, "SELECT * FROM paired"),
+    "reconcile_by_digest": _with(_COPIES, "SELECT * FROM paired"),
     "reconcile_counts": _with(
         _COPIES,
         """counts AS (
@@ -406,4 +408,29 @@ below AS (
         """SELECT idx, shard_id, last + 1 AS gap_from, seq_no - 1 AS gap_to, seq_no - last - 1 AS missing
            FROM below WHERE seq_no - last > 1""",
     ),
+    "live_status": _with(
+        """numbered AS (
+  SELECT idx, shard_id, timestamp_ms // 2592000000 AS age,
+         (row_number() OVER (PARTITION BY idx, shard_id, timestamp_ms // 2592000000 ORDER BY seq_no) - 1) // 1000 AS batch
+  FROM captured),
+batches AS (SELECT count(*) AS events FROM numbered GROUP BY idx, shard_id, age, batch)""",
+        """SELECT 'replication' AS section, 'role' AS metric, 'producer' AS value
+UNION ALL SELECT 'replication', 'running', 'false'
+UNION ALL SELECT 'replication', 'failed', 'false'
+UNION ALL SELECT 'replication', 'last_trigger_rows', CAST(count(*) AS STRING) FROM raw_ops
+UNION ALL SELECT 'producer', 'captured_ops', CAST(count(*) AS STRING) FROM captured
+UNION ALL SELECT 'producer', 'skipped_ops', CAST(count(*) AS STRING) FROM change_log WHERE idx LIKE '.%'
+UNION ALL SELECT 'producer', 'failed_ops', '0'
+UNION ALL SELECT 'producer', 'batches_shipped', CAST(count(*) AS STRING) FROM batches
+UNION ALL SELECT 'producer', 'events_shipped', CAST(sum(events) AS STRING) FROM batches
+UNION ALL SELECT 'producer', 'ship_failures', '0'
+UNION ALL SELECT 'replication', 'role', 'consumer'
+UNION ALL SELECT 'replication', 'running', 'false'
+UNION ALL SELECT 'replication', 'failed', 'false'
+UNION ALL SELECT 'replication', 'last_trigger_rows', CAST(count(*) AS STRING) FROM batches
+UNION ALL SELECT 'consumer', 'batches_processed', CAST(count(*) AS STRING) FROM batches
+UNION ALL SELECT 'consumer', 'batches_failed', '0'
+UNION ALL SELECT 'consumer', 'batches_pending', '0'
+UNION ALL SELECT 'consumer', 'events_pending', '0'""",
+    ),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changelake import fixtures as fx
 from changelake.functions import columns
-from changelake.operators import batching, capture, checkpoint, metrics, reconcile, replay
+from changelake.operators import batching, capture, checkpoint, digests, metrics, reconcile, replay
 from changelake.schema import APPLIED, CHANGES, DELETE, INDEX, NOTIFICATION, REPLICA
 from changelake.sources import changelog, epochs, replica
 from changelake.sources.storage import remove, scratch_dir
@@ -153,7 +153,7 @@ def live_docs(spark, sf_dir):
 
 @query
 def apply_changes(spark, sf_dir):
-    late = fx.deliveries(spark, sf_dir).filter(F.col("arrival") >= 60000)
+    late = fx.deliveries(spark, sf_dir).filter(~fx.before(0.6))
     return replay.apply_changes(replay.latest_state(fx.lagging(spark, sf_dir)), late)
 
 
@@ -215,8 +215,8 @@ def checkpoint_update(spark, sf_dir):
 
 def _merged(spark, sf_dir):
     rows = _verdicts(spark, sf_dir)
-    first = checkpoint.checkpoint_update(rows.filter(F.col("arrival") < 60000))
-    later = checkpoint.checkpoint_update(rows.filter(F.col("arrival") >= 60000))
+    first = checkpoint.checkpoint_update(rows.filter(fx.before(0.6)))
+    later = checkpoint.checkpoint_update(rows.filter(~fx.before(0.6)))
     return checkpoint.merge_checkpoints(first, later)
 
 
@@ -230,9 +230,9 @@ def load_checkpoints(spark, sf_dir):
     path = scratch_dir(spark, "checkpoints")
     rows = _verdicts(spark, sf_dir)
     epochs.save_checkpoints(
-        checkpoint.checkpoint_update(rows.filter(F.col("arrival") < 60000)), path, 0
+        checkpoint.checkpoint_update(rows.filter(fx.before(0.6))), path, 0
     )
-    later = checkpoint.checkpoint_update(rows.filter(F.col("arrival") >= 60000))
+    later = checkpoint.checkpoint_update(rows.filter(~fx.before(0.6)))
     before = epochs.load_checkpoints(spark, path, 0)
     epochs.save_checkpoints(checkpoint.merge_checkpoints(before, later), path, 1)
     return epochs.load_checkpoints(spark, path, 1)
@@ -391,6 +391,11 @@ def reconcile_docs(spark, sf_dir):
     return reconcile.reconcile_docs(*_copies(spark, sf_dir))
 
 
+@query
+def reconcile_by_digest(spark, sf_dir):
+    return digests.reconcile_by_digest(*_copies(spark, sf_dir), bits=8, step=3)
+
+
 @query
 def reconcile_counts(spark, sf_dir):
     return reconcile.reconcile_counts(*_copies(spark, sf_dir))
@@ -435,14 +440,19 @@ def replication_status(spark, sf_dir):
     )
 
 
-def _captured_by_stream(spark, sf_dir, root):
+def _capturing(spark, sf_dir, root):
     """Run the capture stream over the operations and drain it."""
     fx.engine_ops(spark, sf_dir).write.parquet(f"{root}/ops")
     ops = spark.readStream.schema(spark.read.parquet(f"{root}/ops").schema).parquet(f"{root}/ops")
-    capture_stream.run_capture_stream(
+    run = capture_stream.run_capture_stream(
         ops, f"{root}/out", f"{root}/progress", age_ms=30 * DAY_MS, drain=True
-    ).awaitTermination()
-    return f"{root}/out"
+    )
+    run.awaitTermination()
+    return run, f"{root}/out"
+
+
+def _captured_by_stream(spark, sf_dir, root):
+    return _capturing(spark, sf_dir, root)[1]
 
 
 @query
@@ -508,7 +518,7 @@ def retry_pending(spark, sf_dir):
 def safe_positions(spark, sf_dir):
     """Progress of a copy that is behind, kept as ranges over two parts of the deliveries."""
     rows = fx.lagging(spark, sf_dir)
-    halves = [rows.filter(F.col("arrival") < 30000), rows.filter(F.col("arrival") >= 30000)]
+    halves = [rows.filter(fx.before(0.3)), rows.filter(~fx.before(0.3))]
     seen = checkpoint.merge_ranges(*[checkpoint.sequence_ranges(h) for h in halves])
     return checkpoint.safe_positions(_lagging_checkpoint(spark, sf_dir), seen).select("index", "shard_id", "last_seq_no", "safe_seq_no")
 
@@ -517,5 +527,21 @@ def safe_positions(spark, sf_dir):
 def gaps_between(spark, sf_dir):
     """The gaps of the running state, equal to those found in the events."""
     rows = fx.lagging(spark, sf_dir)
-    halves = [rows.filter(F.col("arrival") < 30000), rows.filter(F.col("arrival") >= 30000)]
+    halves = [rows.filter(fx.before(0.3)), rows.filter(~fx.before(0.3))]
     return checkpoint.gaps_between(checkpoint.merge_ranges(*[checkpoint.sequence_ranges(h) for h in halves]))
+
+
+@query
+def live_status(spark, sf_dir):
+    """What a producer and a consumer that have run report of themselves."""
+    root = scratch_dir(spark, "status")
+    producer, out = _capturing(spark, sf_dir, root)
+    notes = spark.readStream.option("recursiveFileLookup", "true").text(f"{out}/manifest").withColumnRenamed("value", "body")
+    consumer = replay_stream.run_replay_stream(
+        spark, f"{out}/log", f"{root}/passive", f"{root}/followed", 100, drain=True, notifications=notes
+    )
+    consumer.awaitTermination()
+    rows = metrics.live_status(spark, "producer", producer, capture_stream.read_metrics(spark, out)).unionByName(
+        metrics.live_status(spark, "consumer", consumer, replay_stream.read_metrics(spark, f"{root}/passive"))
+    )
+    return rows.filter(~F.col("metric").isin("last_poll_ms", "bytes_shipped", "last_trigger_ms"))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from changelake.operators import metrics, reconcile, replay
+from changelake.operators import digests, metrics, reconcile, replay
 from changelake.schema import CHECKPOINTS
 from helpers import change, changes, tuples
 
@@ -105,3 +105,31 @@ def test_white_space_in_a_body_is_no_difference(spark):
     assert [r.status for r in reconcile.reconcile_docs(spaced, other).collect()] == ["CONTENT_MISMATCH"]
     text = spaced.select(bulk_action()).first()[0]
     assert text == tight.select(bulk_action()).first()[0] and text.count("\n") == 1
+
+
+def test_digest_tree_equals_the_join(spark):
+    """Equal, changed, missing and empty copies, at several widths of the tree."""
+    rows = [("l", i % 3, f"d{i}", f'{{"v": {i}}}') for i in range(60)]
+    other = [(a, b, c, d.replace(" ", "")) for a, b, c, d in rows]  # no difference
+    other[7] = (*other[7][:3], '{"v":-1}')
+    other = [r for r in other if r[2] not in ("d20", "d21")] + [("l", 0, "new", "{}")]
+    active, passive = docs(spark, rows), docs(spark, other)
+    columns = ["id", "index", "shard_id", "status"]
+    for left, right in ((active, passive), (passive, active), (active, active), (active, passive.limit(0)), (passive.limit(0), active.limit(0))):
+        want = tuples(reconcile.reconcile_docs(left, right), *columns)
+        for bits, step in ((8, 3), (16, 4), (1, 4)):
+            assert tuples(digests.reconcile_by_digest(left, right, bits, step), *columns) == want
+    leaves = [digests.digest_leaves(c, 8) for c in (active, passive)]
+    changed = active.filter(F.col("id").isin("d7", "d20", "d21")).unionByName(docs(spark, [("l", 0, "new", "{}")]))
+    want = {r[0] for r in changed.select(digests.leaf_of(8)).collect()}
+    assert {r.leaf for r in digests.differing_leaves(*leaves, 8, 3).collect()} == want
+    # a tree is the same whatever the order, and can be made of the leaves of its parts
+    assert tuples(digests.rolled_up(leaves[0], 3), "leaf", "docs", "mixed", "total") == tuples(
+        digests.digest_leaves(active.repartition(7), 5), "leaf", "docs", "mixed", "total"
+    )
+
+
+def test_failed_tries_are_counted_once_each(spark):
+    rows = spark.createDataFrame([(2, 0, 5, 3), (None, None, 6, 2), (0, 0, 7, 0)], "events long, failed long, polled_ms long, failed_tries long")
+    assert tuple(metrics.consumer_metrics(rows).first()) == (1, 5, 7)
+    assert tuple(metrics.consumer_metrics(rows.drop("failed_tries")).first()) == (1, 1, 7)
