@@ -20,6 +20,7 @@ null id counts as smaller than all others. Columns other than the id and the tex
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -48,8 +49,13 @@ def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return (keys >> np.uint64(33)) % np.uint64(n)
 
 
-def _columns(rows: list[tuple], kinds: tuple) -> list[np.ndarray]:
-    return [np.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [np.zeros(0, k) for k in kinds]
+def _empty(kinds: tuple) -> list[array]:
+    """Columns to append to: a number takes its own bytes, where rows of tuples would take ten times as many."""
+    return [array(np.dtype(k).char) for k in kinds]
+
+
+def _columns(filled: list[array], kinds: tuple) -> list[np.ndarray]:
+    return [np.frombuffer(c, k) for c, k in zip(filled, kinds)]
 
 
 def _packed(columns: list[np.ndarray], at: np.ndarray) -> tuple[bytes, ...]:
@@ -80,16 +86,20 @@ _HALF = (np.uint64, np.uint64, np.int32)  # half, line hash, number
 def _ask_lines(n: int):
     def ask(ids: list, texts: list[bytes]) -> Iterator[tuple]:
         numbers = _numbers([r["_id"] for r in ids]).tolist()
-        lines, halves = [], []
+        lines, halves = _empty(_LINE), _empty(_HALF)
+        add, hashes, wholes, owners = [c.append for c in lines], *[c.append for c in halves]
         for k, (d, at, line) in enumerate(_split(texts)):
             words = line.split()
             if words:
                 whole = _hash(b" ".join(words))
-                lines.append((whole, numbers[d], at, k))
+                for put, value in zip(add, (whole, numbers[d], at, k)):
+                    put(value)
                 if len(words) >= MIN_WORDS:
                     for m in (len(words), len(words) - 1):
-                        halves.append((_hash(b" ".join(words[: m // 2]), 2 * m), whole, k))
-                        halves.append((_hash(b" ".join(words[m // 2 - m :]), 2 * m + 1), whole, k))
+                        for half, seed in ((words[: m // 2], 2 * m), (words[m // 2 - m :], 2 * m + 1)):
+                            hashes(_hash(b" ".join(half), seed))
+                            wholes(whole)
+                            owners(k)
         whole, half = _columns(lines, _LINE), _columns(halves, _HALF)
         first, later = _first_of(*whole[:3])
         kept = np.flatnonzero(~later)
@@ -123,46 +133,74 @@ def _answer_lines(sent: list) -> Iterable[tuple[bytes, bytes]]:
         yield gone.tobytes(), np.unique(k[(of == i) & several]).tobytes()
 
 
+def _marked(answers: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a chunk's lines that repeat an earlier one, and of the others that share a half with another line."""
+    gone, near = (np.unique(np.concatenate([np.frombuffer(a[i], np.int32) for a in answers.values()] or [np.zeros(0, np.int32)])) for i in (0, 1))
+    return gone, np.setdiff1d(near, gone)
+
+
 class Candidates:
     """Lines of a chunk that are first of their kind and share a half with another: their words and places."""
 
     def __init__(self, ids: list, texts: list[bytes], answers: dict):
-        self.gone = np.unique(np.concatenate([np.frombuffer(a, np.int32) for a, _ in answers.values()] or [np.zeros(0, np.int32)]))
-        near = np.unique(np.concatenate([np.frombuffer(b, np.int32) for _, b in answers.values()] or [np.zeros(0, np.int32)]))
-        wanted = set(np.setdiff1d(near, self.gone).tolist())
+        wanted = set(_marked(answers)[1].tolist())
         numbers = _numbers([r["_id"] for r in ids]).tolist()
-        self.words, self.doc, self.line, self.number = [], [], [], []
+        self.words, self.doc, self.line = [], [], []
         if wanted:
             for k, (d, at, line) in enumerate(_split(texts)):
                 if k in wanted:
                     self.words.append(line.split())
                     self.doc.append(numbers[d])
                     self.line.append(at)
-                    self.number.append(k)
+
+    def _rests(self) -> Iterator[tuple[int, bytes]]:
+        """(place, line without the word there) for each word, line by line; place 0 is the whole line."""
+        for words in self.words:
+            whole = b" ".join(words)
+            yield 0, whole
+            begin = 0
+            for i, word in enumerate(words, 1):
+                after = begin + len(word) + 1
+                yield i, whole[:begin] + whole[after:] if i < len(words) else whole[: max(begin - 1, 0)]
+                begin = after
 
     def variants(self) -> list[np.ndarray]:
         """(key, kind, candidate): kind 0 lacks a word at a known place, 1 lacks some word, 2 is whole."""
-        rows = []
-        for c, words in enumerate(self.words):
-            rows.append((_hash(b" ".join(words)), 2, c))
-            for i in range(len(words)):
-                rest = b" ".join(words[:i] + words[i + 1 :])
-                rows.append((_hash(rest, i + 1), 0, c))
-                rows.append((_hash(rest), 1, c))
-        return _columns(rows, (np.uint64, np.uint8, np.int32))
+        key, kind = array("Q"), bytearray()
+        for i, rest in self._rests():
+            if i:
+                key.append(_hash(rest, i))
+                key.append(_hash(rest))
+                kind += b"\0\1"
+            else:
+                key.append(_hash(rest))
+                kind.append(2)
+        sizes = [1 + 2 * len(words) for words in self.words]
+        return [np.frombuffer(key, np.uint64), np.frombuffer(kind, np.uint8), np.repeat(np.arange(len(sizes), dtype=np.int32), np.array(sizes, np.int64))]
+
+    def _places(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(self.doc, np.int64)[c], np.array(self.line, np.int32)[c]
+
+    def beaten_here(self) -> dict[int, tuple[int, int]]:
+        """Candidate -> (document, line) of the chunk's earliest line that lacks the same but a word at the same place."""
+        key = np.frombuffer(array("Q", (_hash(rest, i) for i, rest in self._rests() if i)), np.uint64)
+        c = np.repeat(np.arange(len(self.words), dtype=np.int32), np.array([len(w) for w in self.words], np.int64))
+        doc, line = self._places(c)
+        first, later = _first_of(key, doc, line)
+        beaten: dict[int, tuple[int, int]] = {}
+        for i, f in zip(np.flatnonzero(later).tolist(), first[later].tolist()):
+            _lower(beaten, int(c[i]), (int(doc[f]), int(line[f])))
+        return beaten
 
     def questions(self) -> list[np.ndarray]:
         """Rows _VARIANT to ask about: of kind 0, and of kind 1 at the same place, the chunk's earliest only.
 
-        The others have a witness in the chunk: `self.beaten` maps candidates to (document, line).
+        The others have a witness in the chunk (`beaten_here`).
         """
         key, kind, c = self.variants()
-        doc, line = np.array(self.doc, np.int64)[c], np.array(self.line, np.int32)[c]
-        self.beaten: dict[int, tuple[int, int]] = {}
+        doc, line = self._places(c)
         at = np.flatnonzero(kind == 0)
-        first, later = _first_of(key[at], doc[at], line[at])
-        for i, f in zip(at[later].tolist(), at[first[later]].tolist()):
-            _lower(self.beaten, int(c[i]), (int(doc[f]), int(line[f])))
+        _, later = _first_of(key[at], doc[at], line[at])
         # rows of kinds 0 and 1 alternate: the same word is left out
         asks = np.ones(len(key), bool)
         asks[at[later]] = False
@@ -212,11 +250,11 @@ def _answer_variants(sent: list) -> Iterable[tuple[bytes, ...]]:
 
 def _witnesses(chunk: Candidates, answers: dict) -> dict[int, tuple[int, int]]:
     """Candidate -> the earliest line that beat it."""
-    chunk.questions()
+    beaten = chunk.beaten_here()
     for c, doc, line in answers.values():
         for k, d, n in zip(*(np.frombuffer(x, t).tolist() for x, t in ((c, np.int32), (doc, np.int64), (line, np.int32)))):
-            _lower(chunk.beaten, k, (d, n))
-    return chunk.beaten
+            _lower(beaten, k, (d, n))
+    return beaten
 
 
 def _place_bucket(doc: int, line: int, n: int) -> int:
@@ -271,8 +309,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     checked = blocks.answers(blocks.ask(_ask_check(n), lines, variants), _answer_check)
 
     def rows(ids: list, texts: list[bytes], lines: dict, checked: dict) -> Iterator[tuple]:
-        chunk = Candidates(ids, texts, lines)
-        gone = set(chunk.gone.tolist()) | {chunk.number[c] for cs in checked.values() for c in cs}
+        repeated, near = _marked(lines)
+        gone = set(repeated.tolist()) | {int(near[c]) for cs in checked.values() for c in cs}
         k = 0
         for key, text in zip(ids, texts):
             parts = text.split(b"\n")

@@ -4,10 +4,12 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from llm_helpers import WORD, edge_docs, lower, plain_fingerprint
 
 from llm import decontaminate, lines, ngram, simhash, suffix
@@ -277,3 +279,26 @@ def test_katz_table(spark, docs):
     assert stored.agg({"count": "sum"}).first()[0] == model.unigram_counts.tokens
     assert stored.select("context", "word").distinct().count() == stored.count() == model.bigram_counts.types
     assert ngram.Model(docs.limit(0)).score().count() == 0
+
+
+def test_line_variants_are_packed_and_those_of_the_words():
+    """Every line without each of its words, by place and not; a row takes some bytes, not a Python tuple."""
+    texts = [b"\n".join(b"a%d bb ccc d e f g hh%d" % (i, i // 2) for i in range(2000))]
+    every = {0: (b"", np.arange(2000, dtype=np.int32).tobytes())}
+    tracemalloc.start()
+    chunk = lines.Candidates([{"_id": 7}], texts, every)
+    before, _ = tracemalloc.get_traced_memory()
+    tracemalloc.reset_peak()
+    key, kind, c = chunk.variants()
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert peak < 40 * len(key)
+    words = chunk.words[3]
+    want = [(xxhash.xxh64_intdigest(b" ".join(words)), 2)]
+    for i in range(len(words)):
+        rest = b" ".join(words[:i] + words[i + 1 :])
+        want += [(xxhash.xxh64_intdigest(rest, i + 1), 0), (xxhash.xxh64_intdigest(rest), 1)]
+    assert list(zip(key[c == 3].tolist(), kind[c == 3].tolist())) == want
+    # lines 2i and 2i + 1 differ in their first word only
+    assert chunk.beaten_here() == {i: (7, i - 1) for i in range(1, 2000, 2)}
+    assert len(lines.Candidates([{"_id": 7}], texts, {}).questions()[0]) == 0
