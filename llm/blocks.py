@@ -4,7 +4,8 @@ A partition of the input is cut into chunks of some megabytes. A chunk sends pac
 buckets (one shuffle); a bucket merges what all chunks sent and answers each question; the answers
 go back to the partition of the chunk (a second, smaller shuffle) and meet its texts there, because
 both sides have the same number of partitions and the chunks' order is fixed by the input. Texts are
-read again from the source in each round and never shuffled.
+read again from the source in each round and never shuffled. A Python worker per task cuts the chunks, one puts
+together the answers of all rounds (they are shuffled alike, so their union moves nothing), and one does the work.
 
 RDDs, since no DataFrame operator lets two partitioned tables meet without moving both.
 """
@@ -12,6 +13,8 @@ RDDs, since no DataFrame operator lets two partitioned tables meet without movin
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from itertools import count
 from typing import Any
 
 from pyspark import RDD
@@ -46,6 +49,7 @@ class Blocks:
                 yield (index, k), ids, texts
 
         self._chunks = _one_by_one(docs.rdd.mapPartitionsWithIndex(cut))
+        self._rounds = count()
 
     def ask(self, questions: Callable[..., Iterable[tuple[int, Any]]], *answers: RDD) -> RDD:
         """Partition b holds (chunk, payload) for each (b, payload) of `questions(ids, texts, *answers)`."""
@@ -63,30 +67,21 @@ class Blocks:
         return self._with(answers).flatMap(send).partitionBy(buckets, int).values()
 
     def answers(self, asked: RDD, reply: Callable[[list], Iterable[tuple]]) -> RDD:
-        """For each chunk, in order, the dict {bucket: answer}. `reply` maps a bucket's payloads to answers, in order."""
-        parts = max(1, self._chunks.getNumPartitions())
+        """Partition p holds (round, chunk, bucket, answer) for its chunks. `reply` maps a bucket's payloads to answers, in order."""
+        parts, round_ = max(1, self._chunks.getNumPartitions()), next(self._rounds)
 
         def of_bucket(bucket: int, sent: Iterator) -> Iterator[tuple]:
             got = list(sent)
             real = [i for i, (_, payload) in enumerate(got) if payload is not None]
             for i, (place, payload) in enumerate(got):
                 if payload is None:
-                    yield place[0], (place[1], None, None)
+                    yield place[0], (round_, place[1], None, None)
             if real:
                 for i, answer in zip(real, reply([got[i][1] for i in real])):
                     place = got[i][0]
-                    yield place[0], (place[1], bucket, answer)
+                    yield place[0], (round_, place[1], bucket, answer)
 
-        def in_order(rows: Iterator) -> Iterator[dict]:
-            by_chunk: dict[int, dict] = {}
-            for k, bucket, answer in rows:
-                mine = by_chunk.setdefault(k, {})
-                if bucket is not None:
-                    mine[bucket] = answer
-            for k in sorted(by_chunk):
-                yield by_chunk[k]
-
-        return asked.mapPartitionsWithIndex(of_bucket).partitionBy(parts, int).values().mapPartitions(in_order)
+        return asked.mapPartitionsWithIndex(of_bucket).partitionBy(parts, int)
 
     def finish(self, work: Callable[..., Iterable], *answers: RDD) -> RDD:
         """The rows `work(ids, texts, *answers)` makes of each chunk."""
@@ -99,12 +94,21 @@ class Blocks:
         return self._with(answers).flatMap(run)
 
     def _with(self, answers: tuple[RDD, ...]) -> RDD:
-        """Chunks, or (chunk, answers of each kind)."""
+        """Chunks, or (chunk, the dict {bucket: answer} of each round, earlier rounds first)."""
         if not answers:
             return self._chunks
-        known = answers[0].map(lambda a: (a,))
-        for more in answers[1:]:
-            known = known.zip(more).map(lambda both: (*both[0], both[1]))
+
+        def in_order(rows: Iterator) -> Iterator[tuple]:
+            by_chunk: dict[int, dict[int, dict]] = {}
+            for _, (round_, k, bucket, answer) in rows:
+                mine = by_chunk.setdefault(k, {}).setdefault(round_, {})
+                if bucket is not None:
+                    mine[bucket] = answer
+            for k in sorted(by_chunk):
+                known = by_chunk.pop(k)
+                yield tuple(known[r] for r in sorted(known))
+
+        known = reduce(RDD.union, answers).mapPartitions(in_order)
         chunks = self._chunks
         short = known.getNumPartitions() - chunks.getNumPartitions()
         if short > 0:

@@ -13,6 +13,7 @@ import xxhash
 from llm_helpers import WORD, edge_docs, lower, plain_fingerprint
 
 from llm import decontaminate, lines, ngram, simhash, suffix
+from llm.blocks import Blocks
 
 
 @pytest.fixture(scope="module")
@@ -281,6 +282,30 @@ def test_katz_table(spark, docs):
     assert ngram.Model(docs.limit(0)).score().count() == 0
 
 
+def test_a_task_of_blocks_has_three_workers_whatever_it_knows(spark):
+    """Each Python RDD after the last shuffle is a worker of the task, with a memory of its own."""
+    rows = spark.range(40).selectExpr("id", "repeat('ab ', int(id)) AS text")
+    blocks = Blocks(rows, 500)
+    n = blocks.buckets
+
+    def ask(ids, texts, *known):
+        for t in texts:
+            yield len(t) % n, len(t)
+
+    def reply(sent):
+        return [len(sent) for _ in sent]
+
+    first = blocks.answers(blocks.ask(ask), reply)
+    second = blocks.answers(blocks.ask(ask, first), lambda sent: [str(m) for m in reply(sent)])
+    done = blocks.finish(lambda ids, texts, a, b: [(ids, a, b)], first, second)
+    got = done.collect()
+    assert sorted(i for ids, _, _ in got for i in ids) == list(range(40))
+    assert all(set(a) == {3 * i % n for i in ids} and b == {k: str(m) for k, m in a.items()} for ids, a, b in got)
+    lineage = done.toDebugString().decode().split("\n")
+    margins = [len(x) - len(x.lstrip(" |+-()0123456789")) for x in lineage]
+    assert sum("PythonRDD[" in x and m == margins[0] for x, m in zip(lineage, margins)) == 3
+
+
 def test_line_variants_are_packed_and_those_of_the_words():
     """Every line without each of its words, by place and not; a row takes some bytes, not a Python tuple."""
     texts = [b"\n".join(b"a%d bb ccc d e f g hh%d" % (i, i // 2) for i in range(2000))]
