@@ -49,7 +49,8 @@ def _stars(edges: DataFrame, upward: bool) -> DataFrame:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         keep = F.lit(True)
     least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    moved = near.join(least, "a").filter(keep).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    # sorted and merged: by the size of its files, in which repeated nodes take little, Spark would broadcast a table of millions of edges
+    moved = near.join(least.hint("merge"), "a").filter(keep).select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not upward:
         moved = moved.union(least.select("a", F.col("m").alias("b")))
     return moved.filter(F.col("a") != F.col("b")).distinct()
@@ -104,8 +105,9 @@ def in_pieces(df: DataFrame, keys: list[str], order: str, size: int, sizes: Data
     to `size` rows is one block. A larger one is dealt into p pieces by a hash of `order`, and each
     pair of pieces is a block, so each of its rows is sent p times. Adds `_block` (long), `_piece`
     (int, -1 in whole groups) and `_cross` (the block is of two pieces, even if one has no rows).
+    The join is a sort-merge join: Spark takes a table for as large as the one its rows were exploded from, and would broadcast it.
     """
-    df = df.join(sizes, keys)
+    df = df.join(sizes.hint("merge"), keys)
     pieces = F.ceil(F.col("members") / F.lit(size)).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), order), pieces).cast("int")
     rows = df.withColumn("_pieces", F.when(F.col("members") > size, pieces).otherwise(F.lit(1))).withColumn(

@@ -120,9 +120,10 @@ def near_duplicates(
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("id").alias("first"))
     reached = components(links(classes.select("fp"), radius, block))
-    named = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
+    # both joins are sort-merge joins: tables of files and unions of them are larger in memory than Spark expects
+    named = classes.join(reached.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root")
     )
     lowest = named.groupBy("root").agg(F.min("first").alias("component"))
     by_print = named.join(lowest, "root").select("fp", "component")
-    return prints.join(by_print, "fp").select("id", "fp", "component")
+    return prints.join(by_print.hint("merge"), "fp").select("id", "fp", "component")

@@ -11,9 +11,11 @@ import numpy as np
 import pytest
 import xxhash
 from llm_helpers import WORD, edge_docs, lower, plain_fingerprint
+from pyspark.sql import functions as F
 
 from llm import decontaminate, lines, ngram, simhash, suffix
 from llm.blocks import Blocks
+from llm.common import _stars
 
 
 @pytest.fixture(scope="module")
@@ -164,6 +166,15 @@ def test_simhash_links(spark, block):
     assert same(find) == same(want.get)
 
 
+def test_simhash_broadcasts_no_table_that_spark_sizes_too_low(spark):
+    """31 rows of each fingerprint are taken for one row, and files of edges for little more than their bytes."""
+    prints = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    edges = spark.range(1000).select((F.col("id") + 1).alias("a"), (F.col("id") % 7).alias("b"))
+    for made in (simhash.links(prints), _stars(edges, True), _stars(edges, False)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash_edges(spark, docs):
     got = simhash.near_duplicates(docs).collect()
     assert len(got) == docs.count()
