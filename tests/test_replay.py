@@ -62,6 +62,17 @@ def test_verdicts_on_a_stored_replica(spark, rows_per_segment):
     assert as_state(replay.apply_changes(stored, deliveries(spark, late))) == final
 
 
+def test_a_state_of_the_deliveries_only_is_not_joined_with_them(spark):
+    rows = random_deliveries()
+    _, state = fold(rows[:150])
+    want, _ = fold(rows[150:], state)
+    late = deliveries(spark, rows[150:])
+    stored = replay.latest_state(deliveries(spark, rows[:150])).join(late.select("id").distinct(), "id", "left_semi").localCheckpoint()
+    got = replay.replay_verdicts(late, stored, None, None, True)
+    assert tuples(got, "id", "seq_no", "arrival", "line_no", "verdict") == want
+    assert "LeftSemi" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_latest_state_ignores_order_and_repeats(spark, seed):
     rows = random_deliveries()
