@@ -9,7 +9,7 @@ from llm_helpers import edge_docs, plain_fingerprint
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm import html, pieces, pivots, queries, sharding, toxicity
+from llm import html, pieces, pivots, queries, sharding, simhash, toxicity
 from llm.common import components
 
 SF = "/root/testdata/sf0.001"
@@ -312,6 +312,20 @@ def test_pipeline_near_duplicates(spark):
     assert set(got) == {i for i in texts if top(i) == i}
 
 
+def test_pipeline_broadcasts_no_exploded_fingerprints(spark, docs, monkeypatch):
+    """The stage simhash shuffles its fingerprints with their masks, however few Spark takes them for."""
+    links, plans = simhash.links, []
+
+    def seen(*args):
+        made = links(*args)
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(simhash, "links", seen)
+    assert corpus_pipeline.near_dedup(spark, docs, SF).count() < docs.count()
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_pipeline_edges(spark, docs):
     table = docs.withColumn("n_chars", F.length("text")).select("doc_id", "text", "lang", "source", "n_chars", "score")
     for rows in (table, table.limit(0)):
